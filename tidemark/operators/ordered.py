@@ -65,20 +65,23 @@ def is_long(df: DataFrame, keys: Sequence[str]) -> bool:
     return POSITION in df.columns or rows_per_group(df, keys) > block_rows(df.sparkSession)
 
 
+def measure(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Declares the measured length of the longest group, unless a bound is declared."""
+    if not keys or TIME not in df.columns or declared_rows(df, keys) is not None:
+        return df
+    return declare_rows_per_series(df, rows_per_group(df, keys), keys)
+
+
 def prepare(
     df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER
 ) -> DataFrame:
-    """Measures or numbers once what several of the operators below will need.
+    """Measures the groups, and numbers the rows if they are long, once for several operators.
 
-    Short groups get their measured length declared; long ones are numbered, and the
-    operators work on the numbered rows. ``finish`` removes the helper columns.
+    The operators then work on the numbered rows. No row may be dropped in between;
+    ``finish`` removes the numbers.
     """
-    rows = rows_per_group(df, keys)
-    if rows > block_rows(df.sparkSession):
-        return _numbered(df, keys, order)
-    if keys and TIME in df.columns and declared_rows(df, keys) is None:
-        return declare_rows_per_series(df, rows, keys)
-    return df
+    df = measure(df, keys)
+    return _numbered(df, keys, order) if is_long(df, keys) else df
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -128,10 +131,10 @@ def with_position(
     df: DataFrame, *, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Adds ``position``, counted from 0 in each group, and ``rows``, the size of the group."""
+    df = finish(df)
     if is_long(df, keys):
         numbered = _numbered(df, keys, order)
-        added = numbered.withColumns({"position": F.col(POSITION), "rows": F.col(ROWS)})
-        return added.drop(*_helpers(df))
+        return numbered.withColumnsRenamed({POSITION: "position", ROWS: "rows"})
     group = Window.partitionBy(*keys)
     return df.select(
         "*",

@@ -29,38 +29,58 @@ def scaler_kind(name: str) -> str:
     return kind
 
 
+Statistics = dict[str, tuple[float, float]]
+
+
 def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Mean per column, 0.0 for a column without values."""
     row = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
     return {c: float(row[c]) for c in columns}
 
 
-def fit_scaler(
-    df: DataFrame, columns: Sequence[str], kind: str
-) -> dict[str, tuple[float, float]]:
+def fit_scaler(df: DataFrame, columns: Sequence[str], kind: str) -> Statistics:
     """(centre, scale) per column; a column without spread has the scale 1."""
-    kind = scaler_kind(kind)
-    if not columns:
-        return {}
-    if kind == "robust":
-        means = column_means(df, columns)
-        complete = df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns])
-        quartiles = exact_quantiles(complete, columns, (0.25, 0.5, 0.75))
-        return {c: (mid, (high - low) or 1.0) for c, (low, mid, high) in quartiles.items()}
+    statistics, _ = fit_columns(df, columns, kind)
+    return statistics
+
 
+def fit_columns(
+    df: DataFrame, columns: Sequence[str], kind: str | None
+) -> tuple[Statistics, list[str]]:
+    """The scaler's statistics and the columns without any value, from one aggregate.
+
+    Robust scaling needs the quartiles as well, which take further passes.
+    """
+    kind = scaler_kind(kind) if kind is not None else None
+    if not columns:
+        return {}, []
     pieces = []
     for i, c in enumerate(columns):
+        mean = F.coalesce(F.avg(c), F.lit(0.0))
         if kind == "standard":
             share = F.try_divide(F.count(c), F.count(F.lit(1)))
-            centre, scale = F.avg(c), F.sqrt(F.var_pop(c) * share)
+            pair = (mean, F.sqrt(F.var_pop(c) * share))
+        elif kind == "minmax":
+            pair = (F.min(c), F.max(c) - F.min(c))
         else:
-            centre, scale = F.min(c), F.max(c) - F.min(c)
-        pieces += [centre.alias(f"c{i}"), scale.alias(f"s{i}")]
+            pair = (mean, F.lit(1.0))
+        pieces += [F.count(c).alias(f"n{i}"), pair[0].alias(f"c{i}"), pair[1].alias(f"s{i}")]
     row = df.agg(*pieces).first()
-    return {
+    empty = [c for i, c in enumerate(columns) if row[f"n{i}"] == 0]
+    if kind is None:
+        return {}, empty
+    statistics = {
         c: (float(row[f"c{i}"] or 0.0), float(row[f"s{i}"] or 0.0) or 1.0)
         for i, c in enumerate(columns)
     }
+    if kind == "robust":
+        means = {c: centre for c, (centre, _) in statistics.items()}
+        complete = df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns])
+        quartiles = exact_quantiles(complete, columns, (0.25, 0.5, 0.75))
+        for c, (low, mid, high) in quartiles.items():
+            if mid is not None:
+                statistics[c] = (mid, (high - low) or 1.0)
+    return statistics, empty
 
 
 def scaled(column: Column, centre: float, scale: float) -> Column:

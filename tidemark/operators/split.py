@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import label_name, positive, require_columns
-from tidemark.operators.ordered import KEYS, ORDER, over_rows, with_position
+from tidemark.operators.ordered import KEYS, ORDER, measure, over_rows, with_position
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -56,14 +56,16 @@ def temporal_split(
     """
     if short_series not in ("error", "drop"):
         raise ValueError(f"short_series must be 'error' or 'drop', not {short_series!r}.")
-    placed = with_position(add_label(df, target, horizon))
+    labelled = add_label(measure(df), target, horizon)
+    placed = with_position(labelled)
     rules = _split_rules(F.col("rows"), train_size, val_size, gap, purge)
     if short_series == "error":
-        sizes = df_sizes(placed)
-        bad = sizes.filter(~_usable(_split_rules(F.col("rows"), train_size, val_size, gap, purge)))
-        names = [row[0] for row in bad.select(KEYS[0]).limit(5).collect()]
-        if names or sizes.isEmpty():
-            raise ValueError(f"Too few rows for three splits in series: {names}")
+        sizes = labelled.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
+        worst = sizes.agg(
+            F.count(F.lit(1)).alias("series"), F.min(F.struct(_usable(rules), *KEYS)).alias("low")
+        ).first()
+        if not worst["series"] or not worst["low"][0]:
+            raise ValueError(f"Too few rows for three splits, for one in series {worst['low']}")
     position = F.col("position")
     split = F.lit(None).cast("string")
     for name, (start, end) in reversed(rules.items()):
@@ -76,10 +78,6 @@ def temporal_split(
     )
 
 
-def df_sizes(placed: DataFrame) -> DataFrame:
-    return placed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
-
-
 def _split_rules(
     n: Column, train_size: float, val_size: float, gap: int, purge: int
 ) -> dict[str, tuple[Column, Column]]:

@@ -407,8 +407,8 @@ def business_day_offset(spark, folder):
 
 @query(
     "largest_integer_in_text",
-    r"""SELECT doc_id, list_max(list_transform(regexp_extract_all("text", '\d+'),
-        x -> try_cast(x AS DECIMAL(38,0))))::VARCHAR AS largest FROM documents""",
+    r"""SELECT doc_id, list_max([try_cast(x AS DECIMAL(38,0))
+        FOR x IN regexp_extract_all("text", '\d+')])::VARCHAR AS largest FROM documents""",
 )
 def largest_integer_in_text(spark, folder):
     return table(spark, folder, "documents").select(

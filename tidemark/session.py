@@ -57,9 +57,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def write_shared(df: DataFrame) -> str:
+    """Writes ``df`` to a new table in the shared folder and returns its path."""
+    path = f"{shared_folder(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends, columns still prune."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tidemark/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df))

@@ -35,7 +35,7 @@ def load_dataset(
     fmt = os.path.splitext(path.rstrip("/"))[1].lstrip(".")
     if fmt not in FORMATS:
         raise ValueError(f"Unknown dataset format {fmt!r}. Options: {list(FORMATS)}")
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"No dataset at {path}")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "parquet":
@@ -63,7 +63,7 @@ def _csv_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, types.get(c, T.DoubleType())) for c in columns])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Works for any file system Spark can read."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)

@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.clean import empty_columns
+from tidemark.session import freeze
+
 
 def fetch_macro(
     macro: DataFrame,
@@ -27,11 +30,13 @@ def fetch_macro(
     if end is not None:
         wanted = wanted.filter(F.col("ts") <= F.lit(end).cast("timestamp"))
 
-    found = {row.macro_id for row in wanted.select("macro_id").distinct().collect()}
-    missing = [key for key in names if key not in found]
-    if missing:
+    # The table is read several times from here on, and is small: keep it.
+    wide = freeze(widen(wanted, names))
+    empty = empty_columns(wide, list(names.values()))
+    if empty:
+        missing = [key for key, name in names.items() if name in empty]
         raise ValueError(f"No observations for macro series: {missing}")
-    return widen(wanted, names)
+    return wide
 
 
 def widen(macro: DataFrame, names: Mapping[str, str]) -> DataFrame:
