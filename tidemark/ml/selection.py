@@ -162,21 +162,17 @@ class _LinearElimination:
 
     def eliminate(self, fold: int | None, sizes: list[int]) -> list[list[int]]:
         total = self.totals[-1 if fold is None else fold]
-        kept, path, start = list(range(len(self.columns))), [], None
+        kept, path, weights = list(range(len(self.columns))), [], None
         for size in sizes:
             if len(kept) > size:
-                kept_before, kept = kept, weakest_removed(kept, start**2, size)
-                start = start[[kept_before.index(i) for i in kept]]
-            weights, intercept = solve(
-                total, kept, self.config.estimator, self.config.params or {}, start
-            )
+                kept = weakest_removed(kept, weights**2, size)
+            weights, intercept = solve(total, kept, self.config.estimator, self.config.params or {})
             if fold is not None:
                 model = np.zeros(len(self.columns) + 1)
                 model[0] = intercept
                 model[[i + 1 for i in kept]] = weights
                 self.models[fold, size] = model
             path.append(kept)
-            start = weights
         return path
 
     def score(self, paths: list[list[list[int]]]) -> np.ndarray:

@@ -21,7 +21,7 @@ from tidemark.operators.ordered import measure
 from tidemark.operators.split import expanding_folds
 from tidemark.session import freeze
 
-_PARALLEL_FITS = 4
+_PARALLEL_FITS = 6
 _STEP = "feature_assembler__"
 _MODEL = "estimator__"
 
@@ -81,8 +81,8 @@ def search(
     """Scores every parameter set on every fold and fits the best one on all rows.
 
     ``steps`` are the stages before the estimator, the assembler first. They are fitted
-    once per fold and shared by the parameter sets that differ in the estimator only;
-    fits that do not depend on each other run side by side.
+    once per fold and shared by the parameter sets that differ in the estimator only.
+    Fits do not depend on each other and are started from a few driver threads.
     """
     grid = parameter_sets(config)
     members = freeze(expanding_folds(measure(train), config.n_splits, config.gap))
@@ -91,30 +91,35 @@ def search(
         changes = {k: v for k, v in chosen.items() if k.startswith(_STEP)}
         shared.setdefault(json.dumps(changes, sort_keys=True), []).append(chosen)
 
-    results: list[tuple[str, int, float, float]] = []
-    for fold in range(config.n_splits):
+    Frames = tuple[DataFrame, DataFrame]
+
+    def prepare(fold: int, chosen_sets: list[dict]) -> Frames:
         rows = members.filter(F.col("fold") == fold)
-        for chosen_sets in shared.values():
-            before = Pipeline(stages=_changed(steps, chosen_sets[0])).fit(
-                rows.filter(F.col("role") == "train")
-            )
-            ready = before.transform(rows).persist()
-            fit_rows = ready.filter(F.col("role") == "train")
-            test_rows = ready.filter(F.col("role") == "test")
-
-            def run(chosen: dict) -> tuple[str, int, float, float]:
-                start = time.time()
-                model = create_estimator(estimator, _model_params(params, chosen), label).fit(
-                    fit_rows
-                )
-                seconds = time.time() - start
-                score = score_column(config.scoring, label, "prediction")
-                value = model.transform(test_rows).agg(score.alias("s")).first()[0]
-                return json.dumps(chosen, sort_keys=True), fold, value, seconds
-
-            with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
-                results += pool.map(inheritable_thread_target(train.sparkSession)(run), chosen_sets)
-            ready.unpersist()
+        before = Pipeline(stages=_changed(steps, chosen_sets[0])).fit(
+            rows.filter(F.col("role") == "train")
+        )
+        ready = freeze(before.transform(rows))
+        return ready.filter(F.col("role") == "train"), ready.filter(F.col("role") == "test")
+
+    def run(fold: int, frames: Frames, chosen: dict) -> tuple[str, int, float, float]:
+        start = time.time()
+        model = create_estimator(estimator, _model_params(params, chosen), label).fit(frames[0])
+        seconds = time.time() - start
+        score = score_column(config.scoring, label, "prediction")
+        value = model.transform(frames[1]).agg(score.alias("s")).first()[0]
+        return json.dumps(chosen, sort_keys=True), fold, value, seconds
+
+    def in_parallel(function, tasks: list[tuple]) -> list:
+        target = inheritable_thread_target(train.sparkSession)(function)
+        with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
+            return [f.result() for f in [pool.submit(target, *task) for task in tasks]]
+
+    parts = [(fold, sets) for fold in range(config.n_splits) for sets in shared.values()]
+    frames = in_parallel(prepare, parts)
+    results = in_parallel(
+        run,
+        [(fold, frame, chosen) for (fold, sets), frame in zip(parts, frames) for chosen in sets],
+    )
 
     order = {json.dumps(chosen, sort_keys=True): i for i, chosen in enumerate(grid)}
     scores = train.sparkSession.createDataFrame(

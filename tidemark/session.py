@@ -22,6 +22,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
