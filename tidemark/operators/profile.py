@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import numeric_columns
-from tidemark.functions.values import iso_text, nan_to_null
+from tidemark.functions.values import iso_text, moment_rank, nan_to_null
 from tidemark.operators.clean import HELPERS
 from tidemark.operators.ordered import KEYS, ORDER, over_rows
 
@@ -106,11 +106,8 @@ def last_rows(df: DataFrame, n: int, order: Sequence[str] = ORDER) -> DataFrame:
 
 def latest_row(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """The newest row per series, combined before the shuffle."""
-    newest = F.struct(*ORDER)
-    picked = F.max_by(F.struct(*ORDER, *columns), newest).alias("newest")
-    return df.groupBy(*keys).agg(picked).select(
-        *keys, *[f"newest.{c}" for c in (*ORDER, *columns)]
-    )
+    rank = moment_rank(F.col("ts"), F.col("ordinal"))
+    return df.groupBy(*keys).agg(*[F.max_by(c, rank).alias(c) for c in (*ORDER, *columns)])
 
 
 def _per_column(df, columns, aggregate, value) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.session import freeze
 
 SCALERS = {
     "standard": "standard",
@@ -75,7 +76,8 @@ def fit_columns(
     }
     if kind == "robust":
         means = {c: centre for c, (centre, _) in statistics.items()}
-        complete = df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns])
+        # Read once per pass, so what leads to the columns should not run again each time.
+        complete = freeze(df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns]))
         quartiles = exact_quantiles(complete, columns, (0.25, 0.5, 0.75))
         for c, (low, mid, high) in quartiles.items():
             if mid is not None:

@@ -72,9 +72,8 @@ def forecast(
         numbers_to_double(bars.filter((F.col("ts") >= first) & (F.col("ts") < last))), "last"
     )
     predicted = model.transform(recent)
-    newest = F.struct("ts", "ordinal")
     latest = predicted.groupBy(*KEYS).agg(
-        F.max_by("prediction", newest).alias("prediction_value"), F.max("ts").alias("latest")
+        F.max_by("prediction", "ts").alias("prediction_value"), F.max("ts").alias("latest")
     )
     return latest.select(
         *KEYS,

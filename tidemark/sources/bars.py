@@ -11,9 +11,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import require_columns
-from tidemark.functions.values import field_name
+from tidemark.functions.values import field_name, moment_rank
 from tidemark.operators.ordered import declare_rows_per_series
 
 PRICES = ("Open", "High", "Low", "Close")
@@ -58,7 +59,7 @@ def bars_from_ticks(
     than any other. Volume is the number of ticks unless a column is named.
     """
     require_columns(ticks, [series, ts, price, *order, volume])
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    rank = _rank(ticks, order)
     amount = F.sum(F.col(volume)) if volume else F.count(F.lit(1))
     bars = (
         ticks.filter(F.col(series).isNotNull() & F.col(ts).isNotNull())
@@ -122,6 +123,19 @@ def to_wide(
     return bars.filter(F.col("series_id").isin(*series)).groupBy("ts").agg(*cells)
 
 
+def _rank(ticks: DataFrame, order: Sequence[str]) -> Column:
+    types = [ticks.schema[c].dataType for c in order]
+    if len(order) == 1:
+        return F.col(order[0])
+    if (
+        len(order) == 2
+        and isinstance(types[0], (T.TimestampType, T.TimestampNTZType))
+        and isinstance(types[1], T.IntegralType)
+    ):
+        return moment_rank(F.col(order[0]), F.col(order[1]))
+    return F.struct(*order)
+
+
 def _interval_seconds(interval: str) -> int:
     match = re.fullmatch(r"(\d+)([mhd])", interval)
     if not match or int(match[1]) == 0:
