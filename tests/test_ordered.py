@@ -116,14 +116,30 @@ def test_label_split_and_folds_in_blocks(spark, blocks, horizon):
     assert run() == plain
 
 
-def test_declared_bound_needs_no_job_and_survives_a_write(spark, tmp_path):
-    df = ordered.declare_rows_per_series(series(spark, [1.0, 2.0]), 50)
-    assert ordered.rows_per_group(df, ["series_id"]) == 50
-    assert ordered.rows_per_group(df.filter("ordinal = 0"), ["series_id", "split"]) == 50
-    df.write.parquet(str(tmp_path / "bars"))
-    assert ordered.declared_rows(spark.read.parquet(str(tmp_path / "bars")), ["series_id"]) == 50
-    assert ordered.declared_rows(df, ["split"]) is None
-    assert ordered.rows_per_group(series(spark, [1.0, 2.0, 3.0]), ["series_id"]) == 3
+def test_notes_on_length(spark, blocks, tmp_path, monkeypatch):
+    keys = ["series_id"]
+    df = series(spark, [1.0, 2.0, 3.0])
+    assert ordered.rows_per_group(df, keys) == 3
+    bounded = ordered.declare_rows_per_series(df, 50)
+    bounded.write.parquet(str(tmp_path / "bars"))
+    bounded = spark.read.parquet(str(tmp_path / "bars"))
+    assert ordered.declared_rows(bounded.filter("ordinal = 0"), [*keys, "split"]) == 50
+    assert ordered.declared_rows(bounded, ["split"]) is None
+
+    blocks(10)  # the bound is no proof for such blocks, the count is
+    assert not ordered.is_long(bounded, keys)
+    measured = ordered.measure(bounded)
+    assert ordered.declared_rows(measured, keys, ordered.MEASURED) == 3
+    blocks(2)
+    assert ordered.is_long(bounded, keys) and ordered.is_long(measured, keys)
+
+    def no_count(*_):
+        raise AssertionError("counted")
+
+    monkeypatch.setattr(ordered, "rows_per_group", no_count)
+    assert ordered.is_long(measured, keys)
+    blocks(50)
+    assert not ordered.is_long(bounded, keys)
 
 
 def test_long_series_spread_over_tasks(spark, blocks):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import names
 from tidemark.functions.values import natural_log, ratio
-from tidemark.operators.ordered import KEYS, ORDER, finish, over_rows, prepare, with_fills
+from tidemark.operators.ordered import KEYS, ORDER, for_each_part, over_rows, with_fills
 
 
 def lag_column(target: str, n: int, window: WindowSpec) -> Column:
@@ -86,12 +86,15 @@ def add_features(
             columns.append(rolling_deviation_column(target, size, window, min_periods))
         return columns
 
-    if returns:
-        df = with_fills(prepare(df, keys, order), [target], keys=keys, order=order)
     reach = max([0, *lags, *returns, *log_returns, *(size - 1 for size in sizes)])
+
+    def add(part: DataFrame) -> DataFrame:
+        if returns:
+            part = with_fills(part, [target], keys=keys, order=order)
+        return over_rows(part, windows, before=reach, keys=keys, order=order)
+
     if lags or returns or log_returns or sizes:
-        df = over_rows(df, windows, before=reach, keys=keys, order=order)
-    df = finish(df).drop(f"{target}__forward")
+        df = for_each_part(df, add, keys, order).drop(f"{target}__forward")
 
     derived = []
     if high_column is not None and low_column is not None:

@@ -1,15 +1,14 @@
 """Row-order work (lag, lead, rolling, fill, position) over series of any length.
 
 A window partitioned by series puts one series into one task. That is the best
-plan while every series is short, and the wrong one when a single series holds
-a large share of all rows. So each operator here first asks for the largest
-number of rows in a group:
+plan while a series is short, and the wrong one when it holds a large share of all
+rows. So each operator here first asks for the number of rows in a group:
 
-* within the limit, the plain window is used (one shuffle, one sort);
-* beyond it, rows are range-partitioned on (keys, order), which splits a long
-  series over many tasks, and numbered. Numbered rows are cut into blocks of a
-  fixed number of rows; the few rows a frame reaches across a block edge are
-  copied into the neighbour block, and the copies are dropped afterwards.
+* groups within the limit are left to the plain window (one shuffle, one sort);
+* longer groups are range-partitioned on (keys, order), which splits each of them
+  over many tasks, and numbered. Numbered rows are cut into blocks of a fixed number
+  of rows; the few rows a frame reaches across a block edge are copied into the
+  neighbour block, and the copies are dropped afterwards.
 
 Both ways give the same result. The numbered rows are written to the shared
 folder, because the block of a row must not change when a task is run again.
@@ -18,74 +17,107 @@ folder, because the block of a row must not change when a task is run again.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.session import block_rows, freeze
+from tidemark.session import block_rows, fits_broadcast, freeze
 
 SERIES = "series_id"
 TIME = "ts"
 KEYS = (SERIES,)
 ORDER = (TIME, "ordinal")
 BOUND = "tidemark.rows_per_series"
+MEASURED = "tidemark.measured_rows"
 
 POSITION, ROWS = "_pos", "_rows"
 _PART, _RID, _BLOCK, _HOME = "_part", "_rid", "_block", "_home"
 
 
 def declare_rows_per_series(
-    df: DataFrame, rows: int, keys: Sequence[str] = KEYS
+    df: DataFrame, rows: int, keys: Sequence[str] = KEYS, note: str = BOUND
 ) -> DataFrame:
     """Records on the time column how many rows a group of ``keys`` can hold at most."""
     metadata = dict(df.schema[TIME].metadata or {})
-    metadata[BOUND] = {**metadata.get(BOUND, {}), ",".join(keys): int(rows)}
+    metadata[note] = {**metadata.get(note, {}), ",".join(keys): int(rows)}
     return df.withMetadata(TIME, metadata)
 
 
-def declared_rows(df: DataFrame, keys: Sequence[str]) -> int | None:
+def declared_rows(df: DataFrame, keys: Sequence[str], note: str = BOUND) -> int | None:
     """The smallest declared bound; one for fewer keys holds for more keys as well."""
     if TIME not in df.columns:
         return None
-    bounds = (df.schema[TIME].metadata or {}).get(BOUND, {})
+    bounds = (df.schema[TIME].metadata or {}).get(note, {})
     known = [rows for name, rows in bounds.items() if set(name.split(",")) <= set(keys)]
     return min(known, default=None)
 
 
 def rows_per_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """The declared bound if there is one, else one aggregate over the key columns."""
-    declared = declared_rows(df, keys)
-    if declared is not None:
-        return declared
+    """The largest group, from one aggregate that reads the key columns only."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.max("n")).first()[0] or 0
 
 
 def is_long(df: DataFrame, keys: Sequence[str]) -> bool:
-    return POSITION in df.columns or rows_per_group(df, keys) > block_rows(df.sparkSession)
+    """Whether a group may exceed a block. Counts the rows only if no note settles it."""
+    if POSITION in df.columns:
+        return True
+    limit = block_rows(df.sparkSession)
+    bound = declared_rows(df, keys)
+    if bound is not None and bound <= limit:
+        return False
+    measured = declared_rows(df, keys, MEASURED)
+    return (rows_per_group(df, keys) if measured is None else measured) > limit
 
 
 def measure(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Declares the measured length of the longest group, unless a bound is declared."""
-    if not keys or TIME not in df.columns or declared_rows(df, keys) is not None:
+    """Notes the length of the longest group, unless what is noted already will do."""
+    if not keys or TIME not in df.columns or declared_rows(df, keys, MEASURED) is not None:
+        return df
+    bound = declared_rows(df, keys)
+    if bound is not None and bound <= block_rows(df.sparkSession):
         return df
-    return declare_rows_per_series(df, rows_per_group(df, keys), keys)
+    return declare_rows_per_series(df, rows_per_group(df, keys), keys, MEASURED)
 
 
-def prepare(
-    df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER
+def for_each_part(
+    df: DataFrame,
+    function: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str] = KEYS,
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
-    """Measures the groups, and numbers the rows if they are long, once for several operators.
+    """Applies ``function`` to the rows of short groups and to those of long ones.
 
-    The operators then work on the numbered rows. No row may be dropped in between;
-    ``finish`` removes the numbers.
+    Inside the function the operators of this module know which part they got, and
+    neither count nor number it again. It must not drop rows before it uses them.
     """
-    df = measure(df, keys)
-    return _numbered(df, keys, order) if is_long(df, keys) else df
-
-
-def finish(df: DataFrame) -> DataFrame:
-    return df.drop(POSITION, ROWS)
+    parts = _parts_by_length(df, keys, order)
+    results = [function(part) for part in parts]
+    if POSITION not in df.columns:
+        results = [result.drop(POSITION, ROWS) for result in results]
+    return reduce(DataFrame.unionByName, results)
+
+
+def _parts_by_length(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[DataFrame]:
+    """The whole table if no group is long; else the numbered long groups, and the others."""
+    if POSITION in df.columns or not is_long(df, keys):
+        return [df]
+    if not keys:
+        return [_numbered(df, keys, order, df.count())]
+    limit = block_rows(df.sparkSession)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    long_groups = freeze(counts)
+    rows = long_groups.agg(F.sum("_n")).first()[0] or 0
+    named = long_groups.select(*[F.col(c).alias(f"_on_{c}") for c in keys])
+    if fits_broadcast(named):
+        named = F.broadcast(named)
+    same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in keys]
+    short = df.join(named, same, "left_anti")
+    if TIME in df.columns:
+        short = declare_rows_per_series(short, limit, keys)
+    # The union takes its notes from the first part, so the long one comes first.
+    return [_numbered(df.join(named, same, "left_semi"), keys, order, rows), short]
 
 
 def over_rows(
@@ -101,10 +133,22 @@ def over_rows(
 
     They may look at most ``before`` rows back and ``after`` rows ahead.
     """
-    if not is_long(df, keys):
-        return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
 
-    size = max(block_rows(df.sparkSession), before, after)
+    def add(part: DataFrame) -> DataFrame:
+        if POSITION in part.columns:
+            return _over_blocks(part, build, before, after, keys)
+        return part.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
+
+    return for_each_part(df, add, keys, order)
+
+
+def _cut(df: DataFrame) -> int:
+    """Rows per block: well below the limit, so that the blocks of one group spread evenly."""
+    return max(1, block_rows(df.sparkSession) // 8)
+
+
+def _over_blocks(numbered, build, before, after, keys) -> DataFrame:
+    size = max(_cut(numbered), before, after)
     offset = F.col(POSITION) % size
     home = F.col(_HOME)
     copies = F.array_compact(
@@ -114,33 +158,31 @@ def over_rows(
             F.when((offset < after) & (home > 0), home - 1),
         )
     )
-    blocks = (
-        _numbered(df, keys, order)
-        .withColumn(_HOME, F.floor(F.col(POSITION) / size))
-        .withColumn(_BLOCK, F.explode(copies))
+    blocks = numbered.withColumn(_HOME, F.floor(F.col(POSITION) / size)).withColumn(
+        _BLOCK, F.explode(copies)
     )
     window = Window.partitionBy(*keys, _BLOCK).orderBy(POSITION)
-    return (
-        blocks.select("*", *build(window))
-        .filter(F.col(_BLOCK) == F.col(_HOME))
-        .drop(_HOME, _BLOCK, *_helpers(df))
-    )
+    added = blocks.select("*", *build(window))
+    return added.filter(F.col(_BLOCK) == F.col(_HOME)).drop(_HOME, _BLOCK)
 
 
 def with_position(
     df: DataFrame, *, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Adds ``position``, counted from 0 in each group, and ``rows``, the size of the group."""
-    df = finish(df)
-    if is_long(df, keys):
-        numbered = _numbered(df, keys, order)
-        return numbered.withColumnsRenamed({POSITION: "position", ROWS: "rows"})
-    group = Window.partitionBy(*keys)
-    return df.select(
-        "*",
-        (F.row_number().over(group.orderBy(*order)) - 1).cast("long").alias("position"),
-        F.count(F.lit(1)).over(group).alias("rows"),
-    )
+
+    def add(part: DataFrame) -> DataFrame:
+        if POSITION in part.columns:
+            return part.withColumnsRenamed({POSITION: "position", ROWS: "rows"})
+        group = Window.partitionBy(*keys)
+        return part.select(
+            "*",
+            (F.row_number().over(group.orderBy(*order)) - 1).cast("long").alias("position"),
+            F.count(F.lit(1)).over(group).alias("rows"),
+        )
+
+    # Rows may be gone since the table was numbered, so old numbers do not count.
+    return for_each_part(df.drop(POSITION, ROWS), add, keys, order)
 
 
 def with_fills(
@@ -155,81 +197,76 @@ def with_fills(
     """Adds ``<c>__forward`` (last value so far) and ``<c>__backward`` (next value)."""
     if not columns:
         return df
-    if is_long(df, keys):
-        return _fills_by_block(df, columns, forward, backward, keys, order)
 
-    group = Window.partitionBy(*keys)
+    def add(part: DataFrame) -> DataFrame:
+        if POSITION in part.columns:
+            return _fills_by_block(part, columns, forward, backward, keys)
+        return _fills(part, columns, forward, backward, Window.partitionBy(*keys), order)
+
+    return for_each_part(df, add, keys, order)
+
+
+def _fills(df, columns, forward, backward, group, order) -> DataFrame:
     so_far = (Window.unboundedPreceding, Window.currentRow)
     # The backward fill reads the reversed order: a frame that ends at the last
     # row of the group would be evaluated anew for every row.
     ahead = group.orderBy(*[F.col(c).desc() for c in order]).rowsBetween(*so_far)
-    if backward:
-        df = df.select(
-            "*", *[F.last(c, ignorenulls=True).over(ahead).alias(f"{c}__backward") for c in columns]
-        )
-    if forward:
-        past = group.orderBy(*order).rowsBetween(*so_far)
-        df = df.select(
-            "*", *[F.last(c, ignorenulls=True).over(past).alias(f"{c}__forward") for c in columns]
-        )
+    past = group.orderBy(*order).rowsBetween(*so_far)
+    for wanted, window, side in ((backward, ahead, "backward"), (forward, past, "forward")):
+        if wanted:
+            filled = [
+                F.last(c, ignorenulls=True).over(window).alias(f"{c}__{side}") for c in columns
+            ]
+            df = df.select("*", *filled)
     return df
 
 
-def _fills_by_block(df, columns, forward, backward, keys, order) -> DataFrame:
-    size = block_rows(df.sparkSession)
-    blocks = _numbered(df, keys, order).withColumn(_BLOCK, F.floor(F.col(POSITION) / size))
+def _fills_by_block(numbered, columns, forward, backward, keys) -> DataFrame:
+    size = _cut(numbered)
+    blocks = numbered.withColumn(_BLOCK, F.floor(F.col(POSITION) / size))
 
     edges = []
     for c in columns:
         place = F.when(F.col(c).isNotNull(), F.col(POSITION))
-        if forward:
-            edges.append(F.max_by(c, place).alias(f"{c}__last"))
-        if backward:
-            edges.append(F.min_by(c, place).alias(f"{c}__first"))
+        edges.append(F.max_by(c, place).alias(f"{c}__last"))
+        edges.append(F.min_by(c, place).alias(f"{c}__first"))
     per_block = blocks.groupBy(*keys, _BLOCK).agg(*edges)
 
-    # One row per block and series: the value that crosses the block's edges.
+    # One row per block and group: the values that cross the block's edges.
     group = Window.partitionBy(*keys)
     earlier = group.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     later = group.orderBy(F.col(_BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     crossing = []
     for c in columns:
-        if forward:
-            value = F.last(f"{c}__last", ignorenulls=True).over(earlier)
-            crossing.append(value.alias(f"{c}__from_before"))
-        if backward:
-            value = F.last(f"{c}__first", ignorenulls=True).over(later)
-            crossing.append(value.alias(f"{c}__from_after"))
+        before = F.last(f"{c}__last", ignorenulls=True).over(earlier)
+        after = F.last(f"{c}__first", ignorenulls=True).over(later)
+        crossing += [before.alias(f"{c}__from_forward"), after.alias(f"{c}__from_backward")]
     crossings = per_block.select(*keys, _BLOCK, *crossing)
 
-    inside = Window.partitionBy(*keys, _BLOCK)
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    past = inside.orderBy(POSITION).rowsBetween(*so_far)
-    ahead = inside.orderBy(F.col(POSITION).desc()).rowsBetween(*so_far)
-    filled, extra = _attach(blocks, crossings, [*keys, _BLOCK]), []
-    for c in columns:
-        if backward:
-            value = F.last(c, ignorenulls=True).over(ahead)
-            filled = filled.withColumn(f"{c}__backward", F.coalesce(value, f"{c}__from_after"))
-            extra.append(f"{c}__from_after")
-    for c in columns:
-        if forward:
-            value = F.last(c, ignorenulls=True).over(past)
-            filled = filled.withColumn(f"{c}__forward", F.coalesce(value, f"{c}__from_before"))
-            extra.append(f"{c}__from_before")
-    return filled.drop(_BLOCK, *extra, *_helpers(df))
+    inside = _fills(
+        blocks, columns, forward, backward, Window.partitionBy(*keys, _BLOCK), [POSITION]
+    )
+    sides = [side for side, wanted in (("forward", forward), ("backward", backward)) if wanted]
+    filled = _attach(inside, crossings, [*keys, _BLOCK]).withColumns(
+        {
+            f"{c}__{side}": F.coalesce(f"{c}__{side}", f"{c}__from_{side}")
+            for c in columns
+            for side in sides
+        }
+    )
+    added = [f"{c}__{side}" for side in sides for c in columns]
+    return filled.select(*numbered.columns, *added)
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], total: int
+) -> DataFrame:
     """Positions without a task that holds a whole series.
 
     Range partitions are contiguous in (keys, order), so a position is the rows of
     the series in earlier partitions plus the place inside the own partition.
     """
-    if POSITION in df.columns:
-        return df
     spark = df.sparkSession
-    total = df.count()
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(shuffles, -(-total // block_rows(spark)))
     ranged = (
@@ -258,11 +295,6 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     )
 
 
-def _helpers(df: DataFrame) -> list[str]:
-    """Columns to remove again: none if the caller brought numbered rows."""
-    return [] if POSITION in df.columns else [POSITION, ROWS]
-
-
 def _attach(rows: DataFrame, extra: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join on equal keys, where a null key equals a null key."""
     renamed = extra.withColumnsRenamed({c: f"_on_{c}" for c in on})

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import label_name, positive, require_columns
-from tidemark.operators.ordered import KEYS, ORDER, measure, over_rows, with_position
+from tidemark.operators.ordered import KEYS, ORDER, is_long, measure, over_rows, with_position
+from tidemark.session import freeze
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -56,7 +57,11 @@ def temporal_split(
     """
     if short_series not in ("error", "drop"):
         raise ValueError(f"short_series must be 'error' or 'drop', not {short_series!r}.")
-    labelled = add_label(measure(df), target, horizon)
+    measured = measure(df)
+    labelled = add_label(measured, target, horizon)
+    if is_long(measured, KEYS):
+        # Long series are counted, sampled and written to be numbered: label them once.
+        labelled = freeze(labelled)
     placed = with_position(labelled)
     rules = _split_rules(F.col("rows"), train_size, val_size, gap, purge)
     if short_series == "error":
