@@ -18,11 +18,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions import names
-from tidemark.functions.values import nan_to_null
-from tidemark.operators.clean import HELPERS, base_columns, fill_missing, impose_columns
+from tidemark.operators.clean import (
+    HELPERS,
+    base_columns,
+    double_or_null,
+    fill_missing,
+    impose_columns,
+)
 from tidemark.operators.features import add_features, feature_names
 from tidemark.operators.ordered import KEYS
 from tidemark.operators.scaling import apply_scaler, fit_columns, scaler_kind
@@ -153,8 +157,8 @@ def build_matrix(df: DataFrame, settings: dict) -> tuple[DataFrame, list[str], l
     wide = add_features(
         df, target, **bundle, price_for_nominal=settings["price_for_nominal"], keys=(*KEYS, *slices)
     )
-    numbers = [nan_to_null(F.col(c).cast("double")).alias(c) for c in (*base, *built)]
-    return wide.select(*carried, *numbers), base, built
+    numbers = [double_or_null(c) for c in (*base, *built)]
+    return wide.selectExpr(*[f"`{c}`" for c in carried], *numbers), base, built
 
 
 def required_history(settings: dict) -> int:

@@ -6,24 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.names import label_prefix, numeric_columns
-from tidemark.functions.values import nan_to_null
 from tidemark.operators.ordered import KEYS
 
 HELPERS = ("series_id", "ts", "ordinal")
 
 
+def double_or_null(column: str) -> str:
+    """SQL for a column as a double, with NaN read as NULL.
+
+    One text per column is much cheaper to hand to the JVM than a tree of calls, which
+    counts for the wide matrices that are built again for every model.
+    """
+    return f"nullif(cast(`{column}` as double), double('NaN')) as `{column}`"
+
+
 def numbers_to_double(df: DataFrame, exclude: Sequence[str] = HELPERS) -> DataFrame:
     """Every numeric column as a double, with NaN read as NULL; one projection."""
     numeric = set(numeric_columns(df, exclude))
-    return df.select(
-        *[
-            nan_to_null(F.col(c).cast("double")).alias(c) if c in numeric else F.col(c)
-            for c in df.columns
-        ]
-    )
+    return df.selectExpr(*[double_or_null(c) if c in numeric else f"`{c}`" for c in df.columns])
 
 
 def drop_rows_with_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -67,24 +69,14 @@ def base_columns(
 
 def impose_columns(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly ``features``, in order: absent ones are 0.0, others are dropped."""
-    kept = [F.col(c) for c in keep if c in df.columns and c not in features]
     present = set(df.columns)
-    return df.select(
-        *kept, *[F.col(f) if f in present else F.lit(0.0).alias(f) for f in features]
-    )
+    kept = [c for c in keep if c in present and c not in features]
+    return df.select(*kept, *[f if f in present else F.lit(0.0).alias(f) for f in features])
 
 
 def fill_missing(df: DataFrame, value: float = 0.0, columns: Sequence[str] | None = None):
     """NULL and NaN to a constant, in a table or in some of its columns."""
     if not isinstance(df, DataFrame):
         raise TypeError(f"Expected a DataFrame, not {type(df).__name__}.")
-    numeric = columns if columns is not None else numeric_columns(df, HELPERS)
-    floating = {
-        f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    }
-
-    def filled(c: str):
-        source = nan_to_null(F.col(c)) if c in floating else F.col(c)
-        return F.coalesce(source, F.lit(value).cast(df.schema[c].dataType)).alias(c)
-
-    return df.select(*[filled(c) if c in numeric else F.col(c) for c in df.columns])
+    numeric = list(columns if columns is not None else numeric_columns(df, HELPERS))
+    return df.fillna(value, subset=numeric) if numeric else df

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.quantiles import exact_quantiles
@@ -57,16 +57,16 @@ def fit_columns(
         return {}, []
     pieces = []
     for i, c in enumerate(columns):
-        mean = F.coalesce(F.avg(c), F.lit(0.0))
+        mean, least, most = f"coalesce(avg(`{c}`), 0D)", f"min(`{c}`)", f"max(`{c}`)"
         if kind == "standard":
-            share = F.try_divide(F.count(c), F.count(F.lit(1)))
-            pair = (mean, F.sqrt(F.var_pop(c) * share))
+            share = f"try_divide(count(`{c}`), count(1))"
+            centre, scale = mean, f"sqrt(var_pop(`{c}`) * {share})"
         elif kind == "minmax":
-            pair = (F.min(c), F.max(c) - F.min(c))
+            centre, scale = least, f"{most} - {least}"
         else:
-            pair = (mean, F.lit(1.0))
-        pieces += [F.count(c).alias(f"n{i}"), pair[0].alias(f"c{i}"), pair[1].alias(f"s{i}")]
-    row = df.agg(*pieces).first()
+            centre, scale = mean, "1D"
+        pieces += [f"count(`{c}`) as n{i}", f"{centre} as c{i}", f"{scale} as s{i}"]
+    row = df.selectExpr(*pieces).first()
     empty = [c for i, c in enumerate(columns) if row[f"n{i}"] == 0]
     if kind is None:
         return {}, empty
@@ -85,15 +85,10 @@ def fit_columns(
     return statistics, empty
 
 
-def scaled(column: Column, centre: float, scale: float) -> Column:
-    """A missing value stays missing."""
-    return (column - F.lit(centre)) / F.lit(scale)
+def apply_scaler(df: DataFrame, statistics: Statistics) -> DataFrame:
+    """(value - centre) / scale; a missing value stays missing."""
+    def scaled(c: str) -> str:
+        centre, scale = statistics[c]
+        return f"(`{c}` - ({centre!r}D)) / {scale!r}D as `{c}`"
 
-
-def apply_scaler(df: DataFrame, statistics: dict[str, tuple[float, float]]) -> DataFrame:
-    return df.select(
-        *[
-            scaled(F.col(c), *statistics[c]).alias(c) if c in statistics else F.col(c)
-            for c in df.columns
-        ]
-    )
+    return df.selectExpr(*[scaled(c) if c in statistics else f"`{c}`" for c in df.columns])

@@ -261,6 +261,45 @@ def grid_search(spark, folder):
     )
 
 
+ALPHAS = (1, 10**14, 10**15)
+
+
+@query(
+    "grid_search_one_feature",
+    f"""WITH {SPLIT_SQL}, tr AS (
+        SELECT *, row_number() OVER {_over()}) - 1 AS q, count(*) OVER (PARTITION BY series_id) AS m
+        FROM parts WHERE split = 'train'),
+      member AS (SELECT tr.*, k.fold, CASE WHEN q < m - (3 - k.fold) * (m // 4) - 1 THEN 'train'
+          WHEN q >= m - (3 - k.fold) * (m // 4) AND q < m - (2 - k.fold) * (m // 4) THEN 'test' END
+          AS "role" FROM tr, (VALUES (0), (1), (2)) AS k(fold)),
+      lean AS (SELECT fold, "role", "{LABEL}" AS y,
+          coalesce(lag("Close", 1) OVER {_over('series_id, fold, "role"')}), 0) AS x
+        FROM member WHERE "role" IS NOT NULL),
+      fits AS (SELECT fold, alpha, covar_pop(x, y) / (var_pop(x) + alpha / count(*)) AS w,
+          avg(x) AS mx, avg(y) AS my
+        FROM lean, (VALUES {', '.join(f'({a})' for a in ALPHAS)}) AS a(alpha)
+        WHERE "role" = 'train' GROUP BY 1, 2),
+      scores AS (SELECT fold, alpha,
+          -avg(abs(y - my - w * (x - mx)) / greatest(abs(y), 2.220446049250313e-16)) AS score
+        FROM lean JOIN fits USING (fold) WHERE "role" = 'test' GROUP BY 1, 2),
+      means AS (SELECT alpha, avg(score) AS m, stddev_pop(score) AS s FROM scores GROUP BY 1)
+      SELECT '{{"estimator__alpha": ' || alpha || '}}' AS params, {num('m', 'mean_test_score')},
+        {num('s', 'std_test_score')}, rank() OVER (ORDER BY m DESC)::BIGINT AS rank_test_score
+      FROM means""",
+)
+def grid_search_one_feature(spark, folder):
+    """Three penalties on expanding folds, features built inside each fold's train and test."""
+    config = TuningConfig(
+        param_grid={"estimator__alpha": list(ALPHAS)},
+        gap=1,
+        scoring="neg_mean_absolute_percentage_error",
+        refit=False,
+    )
+    stages = feature_stages(FeatureAssembler(target_column=T, **LEAN), None)
+    train = freeze(_train(spark, folder))
+    return tidy(search(stages, "ridge", {}, train, LABEL, config).summary)
+
+
 @query("random_search")
 def random_search(spark, folder):
     grid = {"estimator__alpha": [0.1, 1.0, 10.0, 100.0, 1000.0, 1e4]}
