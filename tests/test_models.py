@@ -98,6 +98,7 @@ def test_stage_errors(train):
             FeatureAssembler(**{**ASSEMBLER, **settings})
     with pytest.raises(TypeError, match="Options"):
         FeatureAssembler(lag=3)
+    assert FeatureAssembler(scaler=ColumnScaler(kind="robust")).setting("scaler") == "robust"
     with pytest.raises(KeyError, match="High"):
         FeatureAssembler(**ASSEMBLER).fit(train.drop("High"))
     with pytest.raises(ValueError, match="standard_scaler"):
@@ -229,7 +230,9 @@ def brute_force(x, y, folds, least, step, score):
         kept = list(range(x.shape[1]))
         out = []
         while True:
-            w = np.linalg.lstsq(np.column_stack([np.ones(len(xt)), xt[:, kept]]), yt, rcond=None)[0]
+            middle = xt[:, kept].mean(0)
+            w = np.linalg.lstsq(xt[:, kept] - middle, yt - yt.mean(), rcond=None)[0]
+            w = np.concatenate([[yt.mean() - middle @ w], w])
             out.append((list(kept), w))
             if len(kept) == least:
                 return out
@@ -253,8 +256,8 @@ def brute_force(x, y, folds, least, step, score):
 def test_elimination_equals_brute_force(spark, scoring, step):
     draw = np.random.default_rng(6)
     n, p = 103, 6
-    x = draw.normal(size=(n, p))
-    y = x @ [2.0, 0.0, 1.0, 0.05, -0.5, 0.0] + draw.normal(size=n) * 0.3 + 5
+    x = draw.normal(size=(n, p)) + 1e6  # far from zero: sums of squares lose digits
+    y = (x - 1e6) @ [2.0, 0.0, 1.0, 0.05, -0.5, 0.0] + draw.normal(size=n) * 0.3 + 5
     names = [f"f{i}" for i in range(p)]
     df = spark.createDataFrame(
         [("s", START + timedelta(days=i), i, float(y[i]), *map(float, x[i])) for i in range(n)],
@@ -356,9 +359,10 @@ def test_search_scores_each_fold_like_a_fit_by_hand(train, tmp_path):
     assert result.best_params == {"estimator__alpha": 0.1}
     assert result.best_score == result.summary.agg(F.max("mean_test_score")).first()[0]
     assert result.model is not None
-    save_tuning(result, str(tmp_path / "tuning"))
+    save_tuning(result, config, str(tmp_path / "tuning"))
     saved = train.sparkSession.read.json(str(tmp_path / "tuning"))
     assert saved.count() == 4 and saved.filter("is_best").count() == 2
+    assert json.loads(saved.first().param_grid) == config.param_grid
 
 
 def test_competition(splits):

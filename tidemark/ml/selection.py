@@ -19,6 +19,7 @@ from tidemark.ml.stages import VECTOR, feature_columns
 from tidemark.operators.metrics import SCORER_LEAST, SCORERS, score_column
 from tidemark.operators.moments import products
 from tidemark.operators.ordered import KEYS, ORDER, with_position
+from tidemark.operators.scaling import column_means
 from tidemark.operators.split import fold_ranges
 
 TREES = ("random_forest", "gradient_boosting", "decision_tree")
@@ -152,7 +153,9 @@ class _LinearElimination:
         self.rows = with_folds(matrix, config.n_splits, config.gap).select(
             *columns, label, "_train_from", "_test_fold"
         )
-        parts = products(self.rows, [*columns, label], "_train_from")
+        means = column_means(matrix, [*columns, label])
+        self.centres = np.array([means[c] for c in (*columns, label)])
+        parts = products(self.rows, [*columns, label], "_train_from", self.centres)
         empty = np.zeros((len(columns) + 2,) * 2)
         self.totals, total = [], empty
         for fold in range(config.n_splits + 1):
@@ -169,7 +172,8 @@ class _LinearElimination:
             weights, intercept = solve(total, kept, self.config.estimator, self.config.params or {})
             if fold is not None:
                 model = np.zeros(len(self.columns) + 1)
-                model[0] = intercept
+                # The sums are of centred values; the model is for the values themselves.
+                model[0] = intercept + self.centres[-1] - weights @ self.centres[kept]
                 model[[i + 1 for i in kept]] = weights
                 self.models[fold, size] = model
             path.append(kept)

@@ -69,7 +69,10 @@ class _Stage(Params, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class FeatureAssembler(_Stage, Estimator):
-    """Builds the feature bundle, attaches base columns, and fits a scaler on the result."""
+    """Builds the feature bundle, attaches base columns, and fits a scaler on the result.
+
+    ``scaler`` is a name or a ``ColumnScaler``.
+    """
 
     defaults = {
         "target_column": "Close",
@@ -89,6 +92,8 @@ class FeatureAssembler(_Stage, Estimator):
         for name in ("lags", "returns", "rolling_windows", "base_columns"):
             if isinstance(settings.get(name), Iterable) and not isinstance(settings[name], str):
                 settings[name] = list(settings[name])
+        if isinstance(settings.get("scaler"), ColumnScaler):
+            settings["scaler"] = settings["scaler"].setting("kind")
         super().__init__(**settings)
         names.expand_lags(self.setting("lags"))
         for name in ("returns", "rolling_windows"):

@@ -135,11 +135,24 @@ def search(
     return TuningResult(best, ranked[0].mean_test_score, scores, summary, model)
 
 
-def save_tuning(result: TuningResult, path: str) -> None:
-    """One row per parameter set and fold, with the parameter set's summary."""
+def save_tuning(result: TuningResult, config: TuningConfig, path: str) -> None:
+    """One row per parameter set and fold, with the set's summary and the search's settings."""
     best = json.dumps(result.best_params, sort_keys=True)
-    rows = result.scores.join(result.summary, "params").withColumn(
-        "is_best", F.col("params") == F.lit(best)
+    settings = {
+        "strategy": config.strategy,
+        "param_grid": json.dumps({k: list(v) for k, v in config.param_grid.items()}),
+        "n_splits": config.n_splits,
+        "gap": config.gap,
+        "scoring": config.scoring,
+        "refit": config.refit,
+        "best_params": best,
+        "best_score": result.best_score,
+    }
+    rows = result.scores.join(result.summary, "params").withColumns(
+        {
+            "is_best": F.col("params") == F.lit(best),
+            **{name: F.lit(value) for name, value in settings.items()},
+        }
     )
     rows.write.mode("overwrite").json(path)
 

@@ -16,17 +16,26 @@ from pyspark.sql import functions as F
 
 
 def products(
-    df: DataFrame, columns: Sequence[str], group: str | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    group: str | None = None,
+    centres: Sequence[float] | None = None,
 ) -> dict[int, np.ndarray]:
-    """Per group, the matrix of sums of products of [1, columns]; rows must be complete."""
+    """Per group, the matrix of sums of products of [1, columns]; rows must be complete.
+
+    With ``centres`` these are subtracted first, which keeps the differences of large
+    sums accurate.
+    """
     names = list(columns)
     width = len(names) + 1
+    shift = np.zeros(len(names)) if centres is None else np.asarray(centres, dtype=float)
 
     def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for key, rows in batch.groupby("_group", sort=False):
-                values = np.column_stack([np.ones(len(rows)), rows[names].to_numpy(float)])
+                centred = rows[names].to_numpy(float) - shift
+                values = np.column_stack([np.ones(len(rows)), centred])
                 totals[key] = totals.get(key, 0.0) + values.T @ values
         for key, total in totals.items():
             i, j = np.triu_indices(width)
