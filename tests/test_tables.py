@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from datetime import timedelta
@@ -96,6 +97,15 @@ def test_datasets_round_trip(spark, tmp_path, bars):
         assert dict(back.dtypes)["Close"] == "double"
 
 
+def test_series_names_stay_text_and_need_no_folders(spark, tmp_path):
+    df = series(spark, [1.0, 2.0], "007").unionByName(series(spark, [3.0], "8"))
+    for fmt, split in itertools.product(("parquet", "csv"), ("series_id", None)):
+        path = str(tmp_path / f"{split}.{fmt}")
+        save_dataset(df, path, fmt, split)
+        back = load_dataset(spark, {"path": path})
+        assert values(back, "series_id", "Close") == [("007", 1.0), ("007", 2.0), ("8", 3.0)]
+
+
 def test_dataset_errors(spark, tmp_path, bars):
     with pytest.raises(ValueError, match="parquet"):
         save_dataset(bars, str(tmp_path / "x"), "feather")

@@ -64,9 +64,14 @@ class NearestNeighbours(_Neighbours, Estimator, DefaultParamsReadable, DefaultPa
         axis, count = _first_axis(rows)
         if count < k:
             raise ValueError(f"{count} training rows are fewer than k={k}.")
+        # Equal rows are at equal distance, so no query needs more than k of them; what is
+        # over is dropped before the shuffle. The hash keeps the choice free of the label.
+        rows = rows.withColumn("mix", F.xxhash64("label", "x"))
+        copies = Window.partitionBy("x").orderBy("mix", "label")
+        rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k)
         size = max(_BLOCK_ROWS, -(-count // _MOST_BLOCKS))
         placed = with_position(
-            rows.withColumn("at", _along("x", axis)), keys=(), order=("at", "label", "x")
+            rows.withColumn("at", _along("x", axis)), keys=(), order=("at", "mix", "copy", "x")
         )
         path = write_shared(
             placed.select(
@@ -195,6 +200,7 @@ def _visit(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
 
     A block with many queries is copied to several tasks, each with a share of them.
     """
+    # At most _MOST_BLOCKS rows, so it can be broadcast.
     load = queries.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     shares = load.select("block", F.ceil(F.col("n") / _QUERIES_PER_TASK).alias("shares"))
     left = queries.join(F.broadcast(shares), "block").withColumn(

@@ -37,25 +37,46 @@ def load_dataset(
         raise ValueError(f"Unknown dataset format {fmt!r}. Options: {list(FORMATS)}")
     if not path_exists(spark, path):
         raise FileNotFoundError(f"No dataset at {path}")
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    if fmt == "parquet":
-        return reader.parquet(path)
     if schema is None:
-        # The header gives the names; the partition column is not part of it.
-        plain = spark.read.csv(path, header=True).columns
-        reader = spark.read.schema(_csv_schema(plain))
-    return reader.csv(path, header=True)
+        found = spark.read.format(fmt).option("header", True).load(path).schema
+        # A folder name such as series_id=007 would be read as a number.
+        schema = _csv_schema(found.names) if fmt == "csv" else _text_keys(found)
+    return spark.read.schema(schema).format(fmt).option("header", True).load(path)
 
 
-def save_dataset(df: DataFrame, path: str, fmt: str = "parquet", split_by: str = "series_id"):
-    """Overwrites ``path``; folders per series let a read of one series skip the rest."""
+def save_dataset(
+    df: DataFrame, path: str, fmt: str = "parquet", split_by: str | None = "series_id"
+):
+    """Overwrites ``path``; folders per series let a read of one series skip the rest.
+
+    Rows are gathered by series first, so that a folder gets few files; a large series is
+    split over several tasks. With very many series use ``split_by=None``: the files are
+    then ranges of (series, time), which their statistics let a read skip.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"Unknown dataset format {fmt!r}. Options: {list(FORMATS)}")
     require_columns(df, [split_by])
-    writer = df.write.mode("overwrite").partitionBy(split_by)
+    order = [split_by or "series_id", "ts"]
+    order = [c for c in order if c in df.columns]
+    if split_by:
+        rows = df.hint("rebalance", split_by)
+    else:
+        rows = df.repartitionByRange(*order)
+    writer = rows.sortWithinPartitions(*order).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    if split_by:
+        writer = writer.partitionBy(split_by)
+    writer.save(path)
+
+
+def _text_keys(found: T.StructType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.name == "series_id" else f.dataType, True, f.metadata)
+            for f in found.fields
+        ]
+    )
 
 
 def _csv_schema(columns: list[str]) -> T.StructType:
