@@ -22,7 +22,6 @@ from tidemark.ml.stages import (
     FeatureSubset,
     FeatureVector,
     FillMissing,
-    carried_columns,
     extra_stage,
     feature_columns,
 )

@@ -4,8 +4,8 @@ An exact percentile aggregate keeps every distinct value of the table in one tas
 Here each wanted rank is instead narrowed to an interval of values: approximate
 percentiles close to the rank propose tighter bounds, exact counts say on which side
 of them the rank lies. One round takes two aggregates for all columns together and
-leaves about a two-thousandth of the rows. Once few rows are left, they are counted
-by value, and the value at the rank is read off.
+leaves about a two-thousandth of the rows. Once few rows are left, or if a column has
+few distinct values, they are counted by value, and the value at the rank is read off.
 """
 
 from __future__ import annotations
@@ -53,7 +53,10 @@ def exact_quantiles(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
         *[F.min(c).cast("double").alias(f"a{i}") for i, c in enumerate(columns)],
         *[F.max(c).cast("double").alias(f"b{i}") for i, c in enumerate(columns)],
+        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
     ).first()
+    # A column with few distinct values can be listed at once, however many rows it has.
+    short = {c for i, c in enumerate(columns) if ends[f"d{i}"] <= few // 2}
 
     searches: dict[tuple[str, int], _Search] = {}
     for i, c in enumerate(columns):
@@ -64,7 +67,8 @@ def exact_quantiles(
                 search.answer = low if low == high else None
                 searches[c, rank] = search
 
-    while wide := [s for s in searches.values() if s.answer is None and s.inside > few]:
+    wide = [s for s in searches.values() if s.column not in short]
+    while wide := [s for s in wide if s.answer is None and s.inside > few]:
         _narrow(df, wide)
     _read_off(df, [s for s in searches.values() if s.answer is None])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import features, metrics, moments, scaling, split
+from tidemark.operators import features, metrics, moments, quantiles, scaling
 from tidemark.operators.align import attach_macro
 from tidemark.operators.features import add_features
 from tidemark.operators.split import add_label, expanding_folds, temporal_split
@@ -13,6 +13,7 @@ from tidemark.queries.fixtures import (
     HOURLY_SQL,
     daily_bars,
     hourly_bars,
+    table,
     weekday_bars,
 )
 from tidemark.queries.registry import num, nums, query, tidy, when
@@ -64,7 +65,8 @@ def _out(items: dict[str, str]) -> str:
 
 
 def _feature(items: dict[str, str], source: str = DAILY_SQL) -> str:
-    return f"WITH {source} SELECT {KEYS_OUT.replace('strftime(ts', 'strftime(bars.ts')}, {_out(items)} FROM bars"
+    keys = KEYS_OUT.replace("strftime(ts", "strftime(bars.ts")
+    return f"WITH {source} SELECT {keys}, {_out(items)} FROM bars"
 
 
 def _only(df, names):
@@ -318,6 +320,28 @@ def imputation_means(spark, folder):
     return tidy(spark.range(1).select(*[F.lit(v).alias(c) for c, v in means.items()]), 2)
 
 
+MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+FRACTIONS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0)
+
+
+@query(
+    "exact_quantiles",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {q}::DOUBLE AS fraction,
+            {num(f'quantile_cont({c}::DOUBLE, {q})', 'value')} FROM lineitem"""
+        for c in MEASURES
+        for q in FRACTIONS
+    )
+    + ")",
+)
+def exact_quantiles(spark, folder):
+    """Quantiles of columns with many and with few distinct values."""
+    found = quantiles.exact_quantiles(table(spark, folder, "lineitem"), MEASURES, FRACTIONS)
+    rows = [(c, q, found[c][i]) for c in MEASURES for i, q in enumerate(FRACTIONS)]
+    return tidy(spark.createDataFrame(rows, "column string, fraction double, value double"))
+
+
 CORR = (*FIELDS, "macro_a", "macro_n", "amplitude", "nominal_value")
 CORR_SQL = f"""{JOINED_SQL}, wide AS (
   SELECT *, "High" - "Low" AS amplitude, "Close" * "Volume" AS nominal_value FROM joined),

@@ -457,7 +457,8 @@ def runs_report(spark, folder):
         .groupBy(F.col("candidate").alias("run_id"), F.col("split").alias("name"))
         .agg(F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse"))
         .unpivot(["run_id", "name"], ["mae", "rmse"], "key", "number")
-        .select("run_id", "name", F.lit("metric").alias("kind"), "key", F.col("number").cast("string").alias("value"))
+        .withColumn("kind", F.lit("metric"))
+        .withColumn("value", F.col("number").cast("string"))
     )
     return tidy(metrics_report(logged, ["mae", "rmse"]), 3)
 

@@ -133,6 +133,18 @@ def macro_left_join(spark, folder):
     return tidy(align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder)))
 
 
+@query("macro_join_over_salts", f"WITH {JOINED_SQL} SELECT {JOINED_OUT} FROM joined")
+def macro_join_over_salts(spark, folder):
+    """The same join by the way taken when the macro table is too large to broadcast."""
+    macro = _macro(spark, folder)
+    spark.conf.set("spark.tidemark.broadcastRows", "0")
+    try:
+        joined = align.attach_macro(weekday_bars(spark, folder), macro)
+    finally:
+        spark.conf.unset("spark.tidemark.broadcastRows")
+    return tidy(joined)
+
+
 @query(
     "macro_join_on_date",
     f"""WITH {HOURLY_SQL}, macro AS (
