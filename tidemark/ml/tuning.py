@@ -110,9 +110,14 @@ def search(
         return json.dumps(chosen, sort_keys=True), fold, value, seconds
 
     def in_parallel(function, tasks: list[tuple]) -> list:
-        target = inheritable_thread_target(train.sparkSession)(function)
+        # A wrapper copies the job properties when it is made. Each task needs its own:
+        # threads that share one copy overwrite each other's.
+        session = train.sparkSession
         with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
-            return [f.result() for f in [pool.submit(target, *task) for task in tasks]]
+            futures = [
+                pool.submit(inheritable_thread_target(session)(function), *task) for task in tasks
+            ]
+            return [future.result() for future in futures]
 
     parts = [(fold, sets) for fold in range(config.n_splits) for sets in shared.values()]
     frames = in_parallel(prepare, parts)
