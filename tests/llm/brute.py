@@ -94,14 +94,18 @@ def crc(ids):
 
 def top_k(rows, every=50, k=5):
     """(vec_id, vector) to (query_id, rank, vec_id, score)."""
-    good = [
-        (i, np.floor(256 * np.array(v, dtype=np.float64)).astype(np.int64))
+    good = {
+        (i, tuple(np.floor(256 * np.array(v, dtype=np.float64)).astype(np.int64).tolist()))
         for i, v in rows
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
-    ]
+    }
     out = []
     for q, x in good:
         if q % every == 0:
-            scores = sorted((-int(x @ y), i) for i, y in good if i != q and len(x) == len(y))
+            scores = sorted(
+                (-sum(a * b for a, b in zip(x, y)), i)
+                for i, y in good
+                if (i, y) != (q, x) and len(x) == len(y)
+            )
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, near_dups, packing, quality, token_files
+from tidemark.llm import (
+    chat,
+    licenses,
+    lines,
+    mixing,
+    near_dups,
+    packing,
+    pii,
+    quality,
+    token_files,
+    top_k,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +47,14 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.exact_top_k(table(spark, folder, "embeddings"))
+
+
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, folder, "documents"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.judge(table(spark, folder, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -68,12 +87,38 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_private(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_private(table(spark, folder, "documents"))
+    kinds = F.col("base.kind")
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, F.lit(k)))).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "row.doc_id", *counts, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
+    found = chat.rotate(table(spark, folder, "conversations"))
+    mask = F.transform("mask", lambda m: F.concat_ws(":", m["start"], m["end"]))
+    return found.select(
+        F.col("conv").alias("conv_id"), "perspective", "part", "n_turns", "n_trained", "text",
+        F.array_join(mask, ",").alias("mask"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_top_k": op3_top_k,
+    "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
     "op6_token_files": op6_token_files,
     "op7_near_dups": op7_near_dups,
     "op8_packing": op8_packing,
+    "op9_private": op9_private,
+    "op10_chat": op10_chat,
 }
 ORACLES: dict[str, str] = {}
