@@ -19,6 +19,9 @@ from tidemark.llm import (
     token_files,
     top_k,
 )
+from tidemark.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,4 +124,3 @@ QUERIES: dict[str, Query] = {
     "op9_private": op9_private,
     "op10_chat": op10_chat,
 }
-ORACLES: dict[str, str] = {}
