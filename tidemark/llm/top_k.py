@@ -66,7 +66,7 @@ def pick_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
     pivots = {}
     for length, found in by_length.items():
         many = min(MOST_PIVOTS, max(1, int(np.sqrt(len(found)) * 1.5)))
-        pivots[length] = np.array(found[:many], dtype=np.float64).reshape(-1, length)
+        pivots[length] = np.array(found[:many], dtype=np.float64).reshape(many, length)
     return pivots
 
 
@@ -94,7 +94,7 @@ def keyed(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             nearest, far = np.zeros(len(vectors), np.int32), np.zeros(len(vectors))
             for length in np.unique(lengths).tolist():
                 at = np.flatnonzero(lengths == length)
-                x = _rows([vectors[i] for i in at]).reshape(-1, length).astype(np.float64)
+                x = _rows([vectors[i] for i in at]).reshape(len(at), length).astype(np.float64)
                 d = _distances(x, _pivots_for(pivots, length))
                 nearest[at] = d.argmin(1)
                 far[at] = d.min(1)
