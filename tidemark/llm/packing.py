@@ -33,17 +33,20 @@ def token_stream(
     docs: DataFrame, tokenizer: str, spaces: str | None, end_id: int | None,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """part, doc_id, before (ids earlier in the partition), n, ids; not yet written."""
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    """part, doc_id, before (ids earlier in the partition), n, ids; not yet written.
+
+    Ids are unsigned numbers of two bytes, or four if the vocabulary is larger.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of_worker(tokenizer, spaces)
+        end = b"" if end_id is None else encoder.as_bytes([end_id])
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
                 ids = [x + end for x in encoder.encode(some.column(1).to_pylist())]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
+                counts = np.array([len(x) // encoder.size for x in ids], np.int64)
                 ends = total + np.cumsum(counts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -76,15 +79,17 @@ def pack(
     bases = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
     # One row per partition of the input, so the table is small at any size.
     rows = stream.join(F.broadcast(bases), "part").select(
-        "doc_id", (F.col("base") + F.col("before")).alias("first"), "ids"
+        "doc_id", (F.col("base") + F.col("before")).alias("first"), "n", "ids"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            columns = (batch.column(i).to_pylist() for i in range(3))
-            for doc, first, ids in zip(*columns):
-                n, start = len(ids) // 4, 0
+            columns = (batch.column(i).to_pylist() for i in range(4))
+            for doc, first, n, ids in zip(*columns):
+                if n:
+                    ids = np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4").tobytes()
+                start = 0
                 while start < n:
                     place = (first + start) % window
                     length = min(window - place, n - start)

@@ -20,7 +20,6 @@ only one segment is held in memory.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,12 +110,12 @@ def unpack(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     return (rest + low[:, None]).reshape(-1)[:n], at
 
 
-def encode_segment(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
+def encode_segment(doc_ids: list[int | None], ids: list[bytes], kind: str = "<u4") -> bytes:
     """Ids of documents are stored as their difference to the smallest, in two halves."""
     nulls = np.array([d is None for d in doc_ids], np.int64)
     known = np.array([0 if d is None else d for d in doc_ids], np.int64).view(np.uint64)
-    counts = np.array([len(x) // 4 for x in ids], np.int64)
-    stream = np.frombuffer(b"".join(ids), "<u4")
+    counts = np.array([len(x) // int(kind[-1]) for x in ids], np.int64)
+    stream = np.frombuffer(b"".join(ids), kind)
     halves = [(known >> np.uint64(32)).astype(np.int64), (known & np.uint64(0xFFFFFFFF)).astype(np.int64)]
     return MAGIC + b"".join(pack(c) for c in (nulls, *halves, counts, stream))
 
@@ -136,16 +135,16 @@ def decode_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 
 
 def _encoder_task(path: str, spaces: str | None, end_id: int | None):
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
     names = [f.split()[0] for f in FILE_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of_worker(path, spaces)
+        end = b"" if end_id is None else encoder.as_bytes([end_id])
         shard, segment, start = TaskContext.get().partitionId(), 0, 0
         docs, held, count = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            row = [shard, segment, start, len(docs), count, encode_segment(docs, held)]
+            row = [shard, segment, start, len(docs), count, encode_segment(docs, held, encoder.kind)]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
@@ -156,7 +155,7 @@ def _encoder_task(path: str, spaces: str | None, end_id: int | None):
                 for doc, found in zip(part.column(0).to_pylist(), ids):
                     docs.append(doc)
                     held.append(found + end)
-                    count += len(held[-1]) // 4
+                    count += len(held[-1]) // encoder.size
                     if count >= SEGMENT:
                         yield flush()
                         segment, start = segment + 1, start + count
@@ -226,7 +225,3 @@ def token_file_folder(spark) -> str:
     import uuid
 
     return f"{shared_folder(spark)}/tidemark/tokens-{uuid.uuid4().hex}"
-
-
-def crc32_of(data: bytes) -> int:
-    return zlib.crc32(data)

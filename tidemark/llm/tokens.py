@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 
 from tidemark.llm.common import worker_store
@@ -12,10 +10,12 @@ from tidemark.llm.common import worker_store
 MEMORY = 1_000_000
 #: Longer words are not remembered.
 LONGEST = 48
+#: Signs that are always apart from the letters before them, and where Latin letters end.
+STOPS, LATIN_END = ".,", "\u0250"
 
 
 class WordEncoder:
-    """Encodes texts as the tokenizer does, as little-endian unsigned 32-bit ids.
+    """Encodes texts as the tokenizer does, as the bytes of an array of ``kind``.
 
     ``spaces`` says what the tokenizer makes of white space. ``"lead"``: a single space belongs to
     the word after it, so a text may be cut before each space. ``"drop"``: white space is dropped
@@ -30,7 +30,10 @@ class WordEncoder:
         self.spaces = spaces
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memory: dict[str, bytes | None] = {}
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 2**16 else "<u4"
+        self.size = int(self.kind[-1])
+        # The ids of a word, or False if it has none of its own.
+        self.memory: dict[str, bytes | bool] = {}
 
     @staticmethod
     def of_worker(path: str, spaces: str | None) -> WordEncoder:
@@ -40,62 +43,88 @@ class WordEncoder:
             store[key] = WordEncoder(path, spaces)
         return store[key]
 
+    def as_bytes(self, ids) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes()
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [self.as_bytes(x.ids) for x in found]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes | None]:
-        """Ids of new words: many are encoded as one text, with a mark between them."""
-        lead = self.spaces == "lead"
-        mark = "\n" if lead else " \x01"
-        whole, marked, loose = [], [], []
+    def _learn(self, words: list[str]) -> dict[str, bytes | bool]:
+        """Ids of new words.
+
+        Under ``"lead"`` a word stands for itself after a space, or after a line end if it begins
+        with one. A Latin word before a full stop or comma is learnt once, with and without it.
+        """
+        lead, known, learnt = self.spaces == "lead", self.memory, {}
+        plain, marked, first, stemmed = set(), [], [], []
         for w in words:
-            # A word that holds white space at an end stood beside more white space.
-            if lead and (not w or w[0].isspace() or w[-1].isspace()):
-                loose.append(w)
+            body = w[1:] if lead and w[:1] == "\n" else w
+            # Words that hold white space at an end stood beside more white space.
+            if lead and (not body or body[0].isspace() or body[-1].isspace()):
+                learnt[w] = False
+            elif body is not w:
+                (marked if "\n" in body else first).append(w)
+            elif "\n" in w or "\x01" in w:
+                marked.append(w)
+            elif w[-1:] in STOPS and w[:-1].isalpha() and max(w) < LATIN_END:
+                stemmed.append(w)
+                if w[:-1] not in known:
+                    plain.add(w[:-1])
             else:
-                (marked if mark[-1] in w else whole).append(w)
+                plain.add(w)
         gap = " " if lead else ""
-        learnt = dict(zip(marked, self._ids([gap + w for w in marked]))) | dict.fromkeys(loose)
-        (mark_id,) = np.frombuffer(self._ids([mark.strip(" ")])[0], "<u4")
-        for i in range(0, len(whole), 512):
-            part = whole[i : i + 512]
-            ids = np.frombuffer(self._ids(["".join(f" {w}{mark}" for w in part)])[0], "<u4")
-            ends = np.flatnonzero(ids == mark_id)
-            if len(ends) != len(part):  # the mark is not kept apart by this tokenizer
-                learnt.update(zip(part, self._ids([gap + w for w in part])))
-                continue
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(part, (4 * ends).tolist()):
-                learnt[w] = raw[start:end]
-                start = end + 4
+        alone = [w if lead and w[0] == "\n" else gap + w for w in marked]
+        learnt.update(zip(marked, self._ids(alone)))
+        plain = list(plain)
+        learnt.update(zip(plain, self._joined(plain, gap)))
+        if first:
+            (end,) = self._ids(["\n"])
+            learnt.update((w, end + ids) for w, ids in zip(first, self._joined([w[1:] for w in first], "")))
+        if stemmed:
+            stops = dict(zip(STOPS, self._ids(list(STOPS))))
+            for w in stemmed:
+                stem = w[:-1]
+                learnt[w] = (known[stem] if stem in known else learnt[stem]) + stops[w[-1]]
         return learnt
 
+    def _joined(self, words: list[str], gap: str) -> list[bytes]:
+        """Many words are encoded as one text, with a mark between them that they do not hold."""
+        mark = "\n" if self.spaces == "lead" else " \x01 "
+        (mark_id,) = np.frombuffer(self._ids([mark.strip(" ")])[0], self.kind)
+        out = []
+        for i in range(0, len(words), 512):
+            part = words[i : i + 512]
+            raw = self._ids([mark.strip(" ") + "".join(f"{gap}{w}{mark}" for w in part)])[0]
+            ends = np.flatnonzero(np.frombuffer(raw, self.kind) == mark_id)
+            if len(ends) != len(part) + 1:  # the mark is not kept apart by this tokenizer
+                out += self._ids([gap + w for w in part])
+                continue
+            at = (self.size * ends).tolist()
+            out += [raw[a + self.size : b] for a, b in zip(at, at[1:])]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.spaces is None:
             return self._ids(texts)
-        if self.spaces == "drop":
-            parts = [t.replace("\n", " ").split(" ") for t in texts]
-        else:
-            parts = [t.split(" ") for t in texts]
-        heads = [p.pop(0) for p in parts] if self.spaces == "lead" else []
-        known = self.memory
-        new = [w for w in set(chain.from_iterable(parts)) if w not in known]
-        if new:
-            learnt = self._learn(new)
-            if len(known) < MEMORY:
-                known.update((w, i) for w, i in learnt.items() if len(w) <= LONGEST)
-            if len(known) < MEMORY and not any(len(w) > LONGEST for w in new):
-                pick = known.__getitem__
-            else:
-                pick = lambda w: known[w] if w in known else learnt[w]
-        else:
-            pick = known.__getitem__
-        first = self._ids(heads) if heads else [b""] * len(parts)
-        out = []
-        for text, head, words in zip(texts, first, parts):
-            try:
-                out.append(head + b"".join(map(pick, words)))
-            except TypeError:  # some word has no ids of its own
-                out.append(self._ids([text])[0])
-        return out
+        lead = self.spaces == "lead"
+        parts = [t.replace("\n", " \n" if lead else " ").split(" ") for t in texts]
+        heads = self._ids([p.pop(0) for p in parts]) if lead else [b""] * len(parts)
+        recall = self.memory.get
+        found = [list(map(recall, words)) for words in parts]
+        gaps = []
+        for words, ids in zip(parts, found):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                gaps.append((ids, at, words[at]))
+        if gaps:
+            learnt = self._learn(list({w for _, _, w in gaps}))
+            for ids, at, w in gaps:
+                ids[at] = learnt[w]
+            if len(self.memory) < MEMORY:
+                self.memory.update((w, i) for w, i in learnt.items() if len(w) <= LONGEST)
+        return [
+            self._ids([text])[0] if False in ids else head + b"".join(ids)
+            for text, head, ids in zip(texts, heads, found)
+        ]
