@@ -3,7 +3,7 @@
 A document's set is its distinct five-word shingles. A signature has 64 coordinates, each the least
 value of one hash over the set. Documents are posted under every (coordinate, value) pair they have;
 documents with a similarity of 0.75 agree in 48 of 64 coordinates on average, and pairs that agree
-in 32 or more are compared on their full sets. That threshold loses a pair at exactly 0.75 with a
+in 32 or more are the ones to look at. That threshold loses a pair at exactly 0.75 with a
 probability of about 3e-6, less for more alike pairs.
 
 *Prefix.* Only shared values count. A document with fewer than 32 shared values has no partner; of
@@ -13,9 +13,11 @@ documents that share 32 values must share one of those (values in one order of r
 *Skip.* A list of posted documents is not expanded into pairs. Exact copies are one class from the
 start. Every class is first compared with one centre: of the centres (the member with the most
 frequent values) of its lists the most central one. Groups that this joins need no more pairs
-inside. Only lists that still hold several groups are merged, between groups, and a pair is kept
-if its signatures agree often enough and its sizes allow the similarity. Those pairs are confirmed
-on the full sets as well, so every link that could join two groups is looked at.
+inside. Only lists that still hold several groups are merged, between groups, in two rounds: first
+the pairs whose finer signatures (256 coordinates of four bits) agree as pairs above the wanted
+similarity do, which connects nearly all of a group; then all others whose agreement leaves a chance
+above 1e-6. A pair is taken from the first list it shares. All pairs taken are confirmed on the full
+sets, so every link that could join two groups is looked at.
 
 Groups are connected components: labels go to the least one, round by round, with jumps; each round
 is written to the shared folder.
@@ -44,6 +46,10 @@ from tidemark.session import freeze
 WORDS = 5
 COORDINATES = 64
 AGREE = 32
+#: Coordinates of the finer signature, and their agreements asked for in the two rounds. Four bits
+#: agree by chance once in 16 times: a pair at 0.75 has 196 agreements on average, deviation 6.8.
+FINE = 256
+ROUNDS = (195, 164)
 #: A link has PERCENT * union <= 100 * intersection.
 PERCENT = 75
 
@@ -91,6 +97,23 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def coordinate_minima(sets: list[np.ndarray], coordinates: int, seed: int) -> np.ndarray:
+    """One row of mixed least values per set; zeros for an empty set."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    found = np.zeros((len(sets), coordinates), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        by, after = _multipliers(coordinates, seed), _multipliers(coordinates, seed + 1)
+        every = np.concatenate([sets[i] for i in full])
+        firsts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+        for k in range(coordinates):
+            hashed = every * by[k]
+            hashed ^= hashed >> np.uint64(31)
+            hashed *= after[k]
+            found[full, k] = _mix(np.minimum.reduceat(hashed, firsts) + np.uint64(k))
+    return found
+
+
 def _class_key(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
@@ -109,23 +132,13 @@ def signatures(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = worker_store().setdefault("word hashes", _Hashes())
-        by = _multipliers(coordinates, 11)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 split = [words_of(t) for t in part.column(3).to_pylist()]
                 sets = [shingle_set(w, words, known) for w in split]
                 sizes = np.array([len(s) for s in sets], np.int64)
-                sig = np.zeros((len(sets), coordinates), np.uint64)
-                full = np.flatnonzero(sizes)
-                if len(full):
-                    every = np.concatenate([sets[i] for i in full])
-                    firsts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-                    for k in range(coordinates):
-                        hashed = every * by[k]
-                        hashed ^= hashed >> np.uint64(31)
-                        least = np.minimum.reduceat(hashed * by[-1 - k], firsts)
-                        sig[full, k] = _mix(least + np.uint64(k))
+                sig = coordinate_minima(sets, coordinates, 11)
                 flat = pa.array(sig.view(np.int64).reshape(-1))
                 offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * coordinates)
                 lists = pa.ListArray.from_arrays(offsets, flat, mask=pa.array(sizes == 0))
@@ -141,7 +154,10 @@ def signatures(
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> DataFrame:
-    """ck and ``hashes`` (sorted, 8 bytes each), one row for each class in ``wanted``."""
+    """ck, ``hashes`` (sorted, 8 bytes each) and ``fine`` for each class in ``wanted``.
+
+    ``fine`` holds four bits of each of 256 coordinates, 16 coordinates to a long.
+    """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,41 +172,33 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> D
                 part = batch.slice(at, 200)
                 sets = [shingle_set(words_of(t), words, known) for t in part.column(1).to_pylist()]
                 raw = [s.astype("<u8").tobytes() for s in sets]
+                lanes = coordinate_minima(sets, FINE, 23) & np.uint64(15)
+                lanes = lanes.reshape(len(sets), FINE // 16, 16) << (4 * np.arange(16, dtype=np.uint64))
+                flat = np.bitwise_or.reduce(lanes, axis=2).view(np.int64).reshape(-1)
+                offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (FINE // 16))
+                fine = pa.ListArray.from_arrays(offsets, pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(raw, pa.binary())], ["ck", "hashes"]
+                    [part.column(0), pa.array(raw, pa.binary()), fine], ["ck", "hashes", "fine"]
                 )
 
     texts = docs.select(text_or_empty(text).alias("t")).mapInArrow(name, "ck binary, t string")
     return texts.join(wanted, "ck", "left_semi").dropDuplicates(["ck"]).mapInArrow(
-        run, "ck binary, hashes binary"
+        run, "ck binary, hashes binary, fine array<long>"
     )
 
 
-def lanes(sig: Column, coordinates: int) -> Column:
-    """Eight bits of every coordinate, eight coordinates to a long, for counting agreements.
+def agreements(a: Column, b: Column) -> Column:
+    """In how many of the 256 lanes two finer signatures agree.
 
-    Eight bits agree by chance once in 256 times: that may add candidates, never lose one.
+    Each lane's bits are folded onto its lowest one, which then says that the lane differs.
     """
-
-    def packed(first: int) -> Column:
-        parts = [
-            F.shiftleft(F.get(sig, F.lit(first + k)).bitwiseAND(F.lit(255)), 8 * k)
-            for k in range(min(8, coordinates - first))
-        ]
-        return reduce(lambda a, b: a.bitwiseOR(b), parts)
-
-    return F.array(*[packed(i) for i in range(0, coordinates, 8)])
-
-
-def agreements(a: Column, b: Column, coordinates: int) -> Column:
-    """In how many lanes the two agree: each lane's bits are folded onto its lowest one."""
     counts = []
-    for i in range(-(-coordinates // 8)):
+    for i in range(FINE // 16):
         differ = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for shift in (4, 2, 1):
+        for shift in (2, 1):
             differ = differ.bitwiseOR(F.shiftrightunsigned(differ, shift))
-        counts.append(F.bit_count(differ.bitwiseAND(F.lit(0x0101010101010101))))
-    return F.lit(coordinates) - reduce(lambda x, y: x + y, counts)
+        counts.append(F.bit_count(differ.bitwiseAND(F.lit(0x1111111111111111))))
+    return F.lit(FINE) - reduce(lambda x, y: x + y, counts)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -268,7 +276,7 @@ def links(
     docs: DataFrame, rows: DataFrame, text: str, words: int, coordinates: int, agree: int, percent: int
 ) -> DataFrame:
     """Confirmed links between classes, enough of them to connect all that are alike."""
-    # One row per class: the one of its copies that has the smallest id.
+    # Copies have the same signature, so any one stands for its class.
     classes = freeze(
         rows.filter("n_shingles > 0").select("ck", "n_shingles", "sig").dropDuplicates(["ck"])
     )
@@ -284,8 +292,6 @@ def links(
             "ck", prefix["value"].alias("prefix"),
             F.aggregate("shared", F.lit(0).cast("long"), lambda s, x: s + x["c"]).alias("score"),
         )
-        .join(classes, "ck")
-        .select("ck", "prefix", "score", "n_shingles", lanes(F.col("sig"), coordinates).alias("lanes"))
     )
     sets = freeze(shingle_sets(docs, posted.select("ck"), text, words))
 
@@ -301,34 +307,43 @@ def links(
         .agg(F.max("centre").alias("centre"))
         .select(F.col("ck").alias("a"), F.col("centre.ck").alias("b"))
     )
-    first = freeze(confirmed(stars, sets, percent))
+    edges = freeze(confirmed(stars, sets, percent))
+    for least in ROUNDS:
+        pairs = between_groups(posted, components(edges), sets, least, percent)
+        edges = edges.union(freeze(confirmed(pairs, sets, percent)))
+    return edges
+
 
-    # Between the groups that this leaves, in lists that still hold more than one.
-    labels = components(first)
+def between_groups(
+    posted: DataFrame, labels: DataFrame, sets: DataFrame, least: int, percent: int
+) -> DataFrame:
+    """Pairs (a, b) of different groups that share a list, agree enough and have sizes that fit."""
     grouped = posted.join(labels.withColumnRenamed("node", "ck"), "ck", "left").select(
-        "ck", F.coalesce("label", "ck").alias("label"), "n_shingles", "lanes", "prefix"
+        "ck", F.coalesce("label", "ck").alias("label"), "prefix"
     )
-    grouped = freeze(grouped)
-    listed = grouped.select("ck", "label", "n_shingles", "lanes", F.explode("prefix").alias("value"))
-    mixed = listed.groupBy("value").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
-    ).filter("low != high")
-    open_lists = listed.join(mixed.select("value"), "value", "left_semi")
-    a = open_lists.select("value", *[F.col(c).alias(f"a_{c}") for c in ("ck", "label", "n_shingles", "lanes")])
-    b = open_lists.select("value", *[F.col(c).alias(f"b_{c}") for c in ("ck", "label", "n_shingles", "lanes")])
-    fits = (
-        (F.col("a.a_label") < F.col("b.b_label"))
-        & (100 * F.col("a_n_shingles") >= percent * F.col("b_n_shingles"))
-        & (100 * F.col("b_n_shingles") >= percent * F.col("a_n_shingles"))
-        & (agreements(F.col("a_lanes"), F.col("b_lanes"), coordinates) >= agree)
+    listed = grouped.select("ck", "label", "prefix", F.posexplode("prefix").alias("i", "value"))
+    mixed = listed.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = mixed.filter("low != high").select("value")
+    # What comes before in the prefix tells whether two classes have met in an earlier list.
+    sizes = sets.select("ck", "fine", (F.octet_length("hashes") / 8).cast("int").alias("n"))
+    rows = (
+        listed.join(mixed, "value", "left_semi")
+        .select("value", "ck", "label", F.slice("prefix", F.lit(1), F.col("i")).alias("earlier"))
+        .join(sizes, "ck")
+    )
+    a, b = (
+        rows.select("value", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "value"])
+        for side in ("a", "b")
     )
-    pairs = (
-        a.alias("a").join(b.alias("b"), (F.col("a.value") == F.col("b.value")) & fits)
-        .select(F.col("a_ck").alias("a"), F.col("b_ck").alias("b"))
-        .distinct()
+    fits = (
+        (F.col("a_label") < F.col("b_label"))
+        & (100 * F.col("a_n") >= percent * F.col("b_n"))
+        & (100 * F.col("b_n") >= percent * F.col("a_n"))
+        & (agreements(F.col("a_fine"), F.col("b_fine")) >= least)
+        & ~F.arrays_overlap("a_earlier", "b_earlier")
     )
-    second = freeze(confirmed(pairs, sets, percent))
-    return first.union(second)
+    met = a.alias("x").join(b.alias("y"), (F.col("x.value") == F.col("y.value")) & fits)
+    return met.select(F.col("a_ck").alias("a"), F.col("b_ck").alias("b"))
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
