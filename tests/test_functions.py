@@ -125,3 +125,10 @@ def test_one_shuffle_and_one_sort_for_the_bundle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_largest_digits_of_any_length(spark):
+    long = "9" * 50
+    assert one(spark, scalar.largest_digits(F.lit(f"7 {long} 0{long[:-1]} 12"))) == long
+    assert one(spark, scalar.largest_digits(F.lit("000 x"))) == "0"
+    assert one(spark, scalar.largest_integer(F.lit(f"7 {long}"))) is None

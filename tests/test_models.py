@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import random
 from datetime import timedelta
 
 import numpy as np
@@ -36,7 +37,8 @@ from tidemark.ml.stages import (
 )
 from tidemark.ml.tuning import TuningConfig, parameter_sets, save_tuning, search
 from tidemark.operators.split import temporal_split
-from tidemark.plans.forecast import forecast_from_registry, required_history
+from tidemark.plans.forecast import forecast, forecast_from_registry, required_history
+from tidemark.plans.ingest import fetch_market_data
 from tidemark.plans.train import run_training
 from tidemark.sources.models import latest_versions, load_latest, register_model
 from tidemark.sources.runs import RunLog, metrics_report, read_runs, run_values
@@ -468,3 +470,85 @@ def test_history_rules():
     assert required_history(None) == 60
     assert required_history(None, {"max_LAG": "1..20", "other": "99"}) == 20
     assert FeatureAssembler(lags=[2], returns=[5], rolling_windows=[9]).required_history() == 9
+
+
+def lagged_model(spark, bars, lags, **more):
+    assembler = FeatureAssembler(target_column="Close", lags=lags, returns=[], rolling_windows=[],
+                                 high_column=None, low_column=None, volume_column=None, **more)
+    splits = temporal_split(bars, "Close", horizon=5, train_size=0.7, val_size=0.15, gap=1)
+    return run_competition(splits, "Close_target_h5", assembler,
+                           [Candidate("linear_regression", "linear_regression")], primary_metric="mae").best.model
+
+
+def test_forecast_over_gaps_and_short_series(spark, bars):
+    """A holiday before the date costs no lag; a short series has no forecast, but a row."""
+    model = lagged_model(spark, bars, [1, 6])
+    holiday = bars.filter("not (ts between '2024-02-20' and '2024-02-28')")
+    short = bars.filter("series_id = 'mid' and ts between '2024-02-26' and '2024-02-29'").withColumn(
+        "series_id", F.lit("new"))
+    broken = bars.filter("series_id = 'mid' and ts < '2024-03-01'").withColumns(
+        {"series_id": F.lit("holes"), "Close": F.when(F.col("ts") < "2024-02-27", F.col("Close"))})
+    data = holiday.unionByName(short).unionByName(broken)
+    got = {r.series_id: r for r in forecast(data, model, horizon=5, prediction_date="2024-03-02").collect()}
+    assert set(got) == {"big", "mid", "small", "new", "holes"}
+    assert not got["new"].complete and got["new"].prediction_value is None
+    for name, source in (("big", holiday), ("holes", broken.dropna(subset=["Close"]))):
+        newest = source.filter(F.col("series_id") == name).filter("ts < '2024-03-02'").orderBy(F.desc("ts")).limit(7)
+        by_hand = model.transform(newest).orderBy(F.desc("ts")).first().prediction
+        assert got[name].complete and got[name].prediction_value == pytest.approx(by_hand)
+
+
+def test_forecast_with_macro(spark, bars, tmp_path):
+    """The model's macro column is attached for the days looked at; without it there is an error."""
+    days = bars.filter("series_id = 'big'").select("ts").distinct()
+    macro = days.filter("dayofweek(ts) = 4").select(
+        F.lit("RATE").alias("macro_id"), "ts", (F.dayofyear("ts") * 1.5).alias("value"))
+    config = {**CONFIG, "assembler": {**CONFIG["assembler"], "base_columns": ["rate"]},
+              "feature_selection": {"enabled": False}, "candidates": [{"name": "linear_regression"}],
+              "macro": {"series": {"RATE": "rate"}}}
+    dataset = fetch_market_data(bars, ticker=None, start="2024-01-01", end="2025-01-01", macro=macro,
+                                macro_series={"RATE": "rate"})
+    base = str(tmp_path / "models")
+    run_training(dataset, config, models_path=base)
+    end = "2024-03-02"
+    got = forecast_from_registry(bars, config, models_path=base, prediction_date=end, macro=macro)
+    model = load_latest(spark, base, "prices").model
+    recent = dataset.filter("series_id = 'mid' and ts < '2024-03-02' and ts >= '2024-02-20'")
+    by_hand = model.transform(recent).orderBy(F.desc("ts")).first().prediction
+    row = got.filter("series_id = 'mid'").first()
+    assert row.complete and row.prediction_value == pytest.approx(by_hand)
+    with pytest.raises(ValueError, match="rate"):
+        forecast_from_registry(bars, config, models_path=base, prediction_date=end)
+
+
+def test_elimination_scores_far_from_zero(spark):
+    draw = random.Random(3)
+    rows = [("s", START + timedelta(days=i), i, *(draw.gauss(0, 1) for _ in range(4))) for i in range(200)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp, ordinal long, a double, b double, c double, e double")
+    near = df.withColumn(LABEL, F.expr("2 * a - b + 0.5 * e")).drop("e")
+    config = SelectionConfig("linear_regression", n_splits=2)
+    scores = [select_features(d, LABEL, config).validation_scores
+              for d in (near, near.withColumn(LABEL, F.col(LABEL) + 1e9))]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6) and min(scores[0]) > 0
+
+
+def test_search_without_refit_keeps_tuned_steps(spark, bars):
+    splits = temporal_split(bars, "Close", horizon=5, train_size=0.7, val_size=0.15, gap=1)
+    tuning = TuningConfig(param_grid={"feature_assembler__lags": [[3]], "estimator__alpha": [0.5]},
+                          n_splits=2, refit=False)
+    outcome = run_competition(splits, "Close_target_h5", FeatureAssembler(target_column="Close", **ASSEMBLER),
+                              [Candidate("ridge", "ridge", tuning=tuning)])
+    assert "Close_lag_3" in outcome.best.model.stages[0].feature_columns()
+    assert "Close_lag_1" not in outcome.best.model.stages[0].feature_columns()
+
+
+def test_training_from_selected_file_saves_search(spark, bars, tmp_path):
+    path = tmp_path / "selected.json"
+    path.write_text('{"selected_features": ["Close_lag_1", "Volume"]}')
+    config = {**CONFIG, "feature_selection": {"selected_features_path": str(path)},
+              "candidates": [{"name": "ridge", "tuning": {
+                  "param_grid": {"estimator__alpha": [0.1, 1.0]}, "n_splits": 2, "artifact_dir": str(tmp_path / "hyper")}}]}
+    result = run_training(bars, config, runs_path=str(tmp_path / "runs"))
+    assert result.selected_features == ["Close_lag_1", "Volume"]
+    saved = spark.read.json(str(tmp_path / "hyper/ridge/tuning_results.json"))
+    assert saved.count() == 4 and saved.filter("is_best").count() == 2

@@ -431,3 +431,42 @@ def test_leaderboard_and_fold_summary(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_macro_on_date_takes_the_last_of_the_day(spark):
+    bars = series(spark, [1.0, 2.0], step=timedelta(hours=10))
+    macro = spark.createDataFrame([(START + timedelta(hours=1), 9.0, None), (START + timedelta(hours=9), 3.0, 5.0),
+                                   (START + timedelta(hours=12), None, None)], "ts timestamp, a double, b double")
+    got = align.attach_macro(bars, macro, on="date")
+    assert values(got, "a", "b") == [(3.0, 5.0), (3.0, 5.0)]
+
+
+def test_fill_policy_names(spark):
+    df = series(spark, [None, 1.0, None, 2.0, None])
+    assert values(align.fill_macro(df, ["Close"], "pad"), "Close") == values(align.fill_macro(df, ["Close"], "ffill"), "Close")
+    assert values(align.fill_macro(df, ["Close"], "backfill"), "Close") == values(align.fill_macro(df, ["Close"], "bfill"), "Close")
+    with pytest.raises(ValueError):
+        align.fill_macro(df, ["Close"], "nearest")
+
+
+def test_csv_keeps_text(spark, tmp_path):
+    path = str(tmp_path / "data.csv")
+    df = series(spark, [1.5, None]).withColumn("note", F.lit("hello"))
+    save_dataset(df, path, "csv", split_by=None)
+    got = load_dataset(spark, {"path": path})
+    assert dict(got.dtypes)["note"] == "string" and dict(got.dtypes)["Close"] == "double"
+    assert values(got, "note", "Close") == [("hello", 1.5), ("hello", None)]
+
+
+def test_ingest_of_all_series_checks_its_range(spark, bars):
+    with pytest.raises(ValueError, match="before"):
+        fetch_market_data(bars, ticker=None, start="2025-01-01", end="2024-01-01")
+    with pytest.raises(ValueError, match="any series"):
+        fetch_market_data(bars, ticker=None, start="1990-01-01", end="1991-01-01")
+    with pytest.raises(ValueError, match="macro"):
+        fetch_market_data(bars, ticker=None, start="2024-01-01", end="2025-01-01", macro_series=["A"])
+
+
+def test_quantiles_ignore_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
+    assert quantiles.exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]) == {"x": [1.0, 2.0, 3.0]}

@@ -50,10 +50,18 @@ def date_or_now(text: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text), F.current_timestamp())
 
 
-def largest_integer(text: Column) -> Column:
-    """The largest run of digits in a text; runs beyond 38 digits are not numbers here."""
+def largest_digits(text: Column) -> Column:
+    """The largest run of digits in a text, of any length, as text without leading zeros."""
     runs = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1))
-    return F.array_max(F.transform(runs, lambda run: run.try_cast("decimal(38,0)")))
+    bare = F.transform(runs, lambda run: F.ltrim(run, F.lit("0")))
+    sized = F.transform(bare, lambda run: F.struct(F.char_length(run), run.alias("run")))
+    largest = F.array_max(sized)["run"]
+    return F.when(largest == "", F.lit("0")).otherwise(largest)
+
+
+def largest_integer(text: Column) -> Column:
+    """The largest run of digits as a number; NULL if it has more than 38 digits."""
+    return largest_digits(text).try_cast("decimal(38,0)")
 
 
 def field_name(field: Column, series: Column) -> Column:

@@ -25,7 +25,7 @@ from tidemark.ml.stages import (
     extra_stage,
     feature_columns,
 )
-from tidemark.ml.tuning import TuningConfig, search
+from tidemark.ml.tuning import TuningConfig, TuningResult, fit_chosen, search
 from tidemark.operators.metrics import METRICS, check_metric, evaluate, leaderboard
 from tidemark.operators.moments import correlated_columns
 from tidemark.operators.ordered import KEYS, ORDER, measure
@@ -65,6 +65,7 @@ class CandidateResult:
     model: PipelineModel
     params: dict
     tuning_score: float | None
+    tuning: TuningResult | None
     metrics_val: dict[str, float | None]
     metrics_test: dict[str, float | None]
 
@@ -118,9 +119,11 @@ def run_competition(
     primary_metric: str = "rmse",
     extra_steps: Sequence[str] = (),
     tracker=None,
+    selected: Sequence[str] | None = None,
 ) -> Outcome:
     """Selects features on the train rows, fits every candidate, scores val and test.
 
+    With ``selected`` (say, read back from a file) those features are used as they are.
     Features of val and test rows are built inside their own slice.
     """
     if not candidates:
@@ -129,7 +132,10 @@ def run_competition(
     splits = measure(freeze(splits))
     train = splits.filter(F.col("split") == TRAIN)
     matrix, train_rows = complete_rows(train, assembler)
-    chosen = choose_features(matrix, train_rows, label, selection, candidates[0].estimator)
+    if selected is not None:
+        chosen = keep_all(list(selected), SelectionConfig(estimator=candidates[0].estimator))
+    else:
+        chosen = choose_features(matrix, train_rows, label, selection, candidates[0].estimator)
     held_out = splits.filter(F.col("split") != TRAIN)
 
     # Candidates with the same extra steps share the fitted features.
@@ -138,12 +144,16 @@ def run_competition(
     for position, candidate in enumerate(candidates):
         extra = tuple([*extra_steps, *candidate.extra_steps])
         stages = feature_stages(assembler, chosen.selected_features, extra)
-        params, tuning_score, model = candidate.params, None, None
+        params, tuning_score, model, tuned = candidate.params, None, None, None
         if candidate.tuning is not None:
             tuned = search(
                 stages, candidate.estimator, candidate.params, train_rows, label, candidate.tuning
             )
             params, tuning_score, model = tuned.best_params, tuned.best_score, tuned.model
+            if model is None:  # the search itself was told not to refit
+                model = fit_chosen(
+                    stages, candidate.estimator, candidate.params, params, train_rows, label
+                )
         if model is None:
             if extra not in prepared:
                 before = Pipeline(stages=stages).fit(train_rows)
@@ -153,18 +163,12 @@ def run_competition(
                     freeze(before.transform(held_out)),
                 )
             before, ready, held = prepared[extra]
-            tuned_params = {
-                k.split("__")[-1]: v for k, v in params.items() if candidate.tuning is not None
-            }
-            estimator = create_estimator(
-                candidate.estimator, {**candidate.params, **tuned_params}, label
-            )
-            last = estimator.fit(ready)
+            last = create_estimator(candidate.estimator, candidate.params, label).fit(ready)
             model = PipelineModel([*before.stages, last])
             predicted = last.transform(held)
         else:
             predicted = model.transform(held_out)
-        fitted.append((candidate, model, params, tuning_score))
+        fitted.append((candidate, model, params, tuning_score, tuned))
         predictions.append(
             predicted.select(
                 F.lit(candidate.name).alias("candidate"),
@@ -179,14 +183,14 @@ def run_competition(
     scored = freeze(evaluate(union, "label", "prediction", ["candidate", "position", "split"]))
     rows = {(r.candidate, r.split): r for r in scored.collect()}
     results = []
-    for candidate, model, params, tuning_score in fitted:
+    for candidate, model, params, tuning_score, tuned in fitted:
         both = []
         for split in ("val", "test"):
             row = rows.get((candidate.name, split))
             if row is None or not row.n:
                 raise ValueError(f"No valid {split} rows to score {candidate.name!r} on.")
             both.append({m: row[m] for m in METRICS})
-        results.append(CandidateResult(candidate.name, model, params, tuning_score, *both))
+        results.append(CandidateResult(candidate.name, model, params, tuning_score, tuned, *both))
         if tracker is not None:
             _report(tracker.nested(candidate.name), candidate, results[-1], chosen, selection, label)
 

@@ -21,6 +21,7 @@ from tidemark.operators.moments import products
 from tidemark.operators.ordered import KEYS, ORDER, with_position
 from tidemark.operators.scaling import column_means
 from tidemark.operators.split import fold_ranges
+from tidemark.session import freeze
 
 TREES = ("random_forest", "gradient_boosting", "decision_tree")
 
@@ -94,7 +95,7 @@ def select_features(
     # Ascending sizes, so that the fewest features win a tie.
     means = scores.mean(axis=0)[::-1]
     ascending = sizes[::-1]
-    best = ascending[int(np.argmax(means))]
+    best = ascending[int(np.argmax(np.where(np.isnan(means), -np.inf, means)))]
     final = backend.eliminate(None, elimination_sizes(len(columns), best, int(step)))
     kept = final[-1]
     # A feature eliminated in the last step ranks 2, in the one before 3, and so on.
@@ -150,8 +151,11 @@ class _LinearElimination:
 
     def __init__(self, matrix, label, columns, config):
         self.columns, self.label, self.config = columns, label, config
-        self.rows = with_folds(matrix, config.n_splits, config.gap).select(
-            *columns, label, "_train_from", "_test_fold"
+        # Numbered once; the sums and the scores both read it.
+        self.rows = freeze(
+            with_folds(matrix, config.n_splits, config.gap).select(
+                *columns, label, "_train_from", "_test_fold"
+            )
         )
         means = column_means(matrix, [*columns, label])
         self.centres = np.array([means[c] for c in (*columns, label)])
@@ -185,7 +189,7 @@ class _LinearElimination:
         models = np.stack(
             [np.column_stack([self.models[fold, size] for size in sizes]) for fold in range(folds)]
         )
-        columns, label = self.columns, self.label
+        columns, label, centre = self.columns, self.label, float(self.centres[-1])
 
         def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sums = np.zeros((folds, len(sizes), len(_ERRORS)))
@@ -196,7 +200,9 @@ class _LinearElimination:
                     error = y - rows[columns].to_numpy(float) @ model[1:] - model[0]
                     relative = np.abs(error) / np.maximum(np.abs(y), SCORER_LEAST)
                     ones = np.ones_like(error)
-                    pieces = (ones, ones * y, ones * y * y, error**2, np.abs(error), relative)
+                    # Centred, so that a label far from zero does not swamp its spread.
+                    away = ones * (y - centre)
+                    pieces = (ones, away, away**2, error**2, np.abs(error), relative)
                     sums[fold] += np.stack([p.sum(axis=0) for p in pieces], axis=1)
             fold, size = np.indices(sums.shape[:2])
             cells = {name: sums[:, :, i].ravel() for i, name in enumerate(_ERRORS)}
@@ -240,7 +246,7 @@ class _TreeElimination:
 
     def __init__(self, matrix, label, columns, config):
         self.columns, self.label, self.config = columns, label, config
-        self.rows = with_folds(matrix, config.n_splits, config.gap).persist()
+        self.rows = freeze(with_folds(matrix, config.n_splits, config.gap))
         self.scores: dict[tuple[int, int], float] = {}
 
     def eliminate(self, fold: int | None, sizes: list[int]) -> list[list[int]]:
@@ -262,8 +268,6 @@ class _TreeElimination:
                 score = score_column(self.config.scoring, self.label, "prediction")
                 predicted = model.transform(vector.transform(test))
                 self.scores[fold, size] = predicted.agg(score.alias("score")).first()[0]
-        if fold is None:
-            self.rows.unpersist()
         return path
 
     def score(self, paths: list[list[list[int]]]) -> np.ndarray:

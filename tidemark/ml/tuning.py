@@ -36,6 +36,8 @@ class TuningConfig:
     gap: int = 0
     refit: bool = True
     random_state: int | None = None
+    artifact_dir: str | None = None
+    artifact_name: str = "tuning_results.json"
 
     @classmethod
     def from_mapping(cls, data: Mapping) -> TuningConfig:
@@ -135,11 +137,18 @@ def search(
     best = json.loads(ranked[0].params)
     model = None
     if config.refit:
-        final = create_estimator(estimator, _model_params(params, best), label)
-        model = Pipeline(stages=[*_changed(steps, best), final]).fit(train)
+        model = fit_chosen(steps, estimator, params, best, train, label)
     return TuningResult(best, ranked[0].mean_test_score, scores, summary, model)
 
 
+def fit_chosen(
+    steps: Sequence, estimator: str, params: Mapping | None, chosen: Mapping, train: DataFrame, label: str
+) -> PipelineModel:
+    """One parameter set, for the steps as well as the estimator, fitted on all rows."""
+    final = create_estimator(estimator, _model_params(params, chosen), label)
+    return Pipeline(stages=[*_changed(steps, chosen), final]).fit(train)
+
+
 def save_tuning(result: TuningResult, config: TuningConfig, path: str) -> None:
     """One row per parameter set and fold, with the set's summary and the search's settings."""
     best = json.dumps(result.best_params, sort_keys=True)

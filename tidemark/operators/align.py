@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordered import KEYS, ORDER, with_fills
 from tidemark.session import fits_broadcast
 
-_SALTS = 16
-
 
 def attach_macro(bars: DataFrame, macro: DataFrame, on: str = "timestamp") -> DataFrame:
     """Left join on equal time; with ``on='date'`` an intraday bar matches its day's value.
 
-    An observation without a bar at the same time is lost, not carried forward.
+    Of several observations of a day the last value counts. An observation without a bar at the same time is lost, not carried forward.
     A small macro table is broadcast; a larger one is spread over salts, because one
     moment may hold a large share of the bars.
     """
@@ -24,23 +22,30 @@ def attach_macro(bars: DataFrame, macro: DataFrame, on: str = "timestamp") -> Da
     moment = F.col("ts") if on == "timestamp" else F.to_date("ts")
     keyed = macro.select(moment.alias("_at"), *columns)
     if on == "date":
-        keyed = keyed.groupBy("_at").agg(*[F.max(c).alias(c) for c in columns])
+        when = {c: F.when(F.col(c).isNotNull(), F.col("ts")) for c in columns}
+        keyed = macro.groupBy(moment.alias("_at")).agg(
+            *[F.max_by(c, when[c]).alias(c) for c in columns]
+        )
     left = bars.withColumn("_at", moment)
     if fits_broadcast(keyed):
         return left.join(F.broadcast(keyed), "_at", "left").drop("_at")
-    salt = F.pmod(F.xxhash64("series_id", "ordinal"), F.lit(_SALTS))
-    spread = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    # As many salts as tasks: one moment may then be spread over all of them.
+    salts = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64("series_id", "ordinal"), F.lit(salts))
+    spread = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.withColumn("_salt", salt).join(spread, ["_at", "_salt"], "left").drop("_at", "_salt")
 
 
 def fill_macro(df: DataFrame, columns, policy: str | None = "ffill") -> DataFrame:
     """Fills along each series in both directions; the policy says which one comes first.
 
-    ``bfill`` prefers the next value, everything else the last one. Either way
+    ``bfill`` (or ``backfill``) prefers the next value, everything else the last one. Either way
     leading gaps take a later value, so early rows see the future.
     """
+    policy = {"pad": "ffill", "backfill": "bfill"}.get(policy, policy)
     if policy not in ("ffill", "bfill", None):
-        raise ValueError(f"Unknown fill policy {policy!r}. Options: ['ffill', 'bfill', None]")
+        options = ["ffill", "pad", "bfill", "backfill", None]
+        raise ValueError(f"Unknown fill policy {policy!r}. Options: {options}")
     filled = with_fills(df, list(columns), backward=True, keys=KEYS, order=ORDER)
     first, second = ("backward", "forward") if policy == "bfill" else ("forward", "backward")
     wanted = set(columns)

@@ -10,12 +10,17 @@ few distinct values, they are counted by value, and the value at the rank is rea
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.values import nan_to_null
 
 # Rows that may remain in an interval before its values are listed.
 _FEW = 10_000
@@ -48,7 +53,15 @@ class _Search:
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], fractions: Sequence[float], few: int = _FEW
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column; NULL is ignored."""
+    """Linearly interpolated quantiles per column; NULL and NaN are ignored."""
+    df = df.select(
+        *[
+            nan_to_null(F.col(f"`{c}`")).alias(c)
+            if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+            else F.col(f"`{c}`")
+            for c in dict.fromkeys(columns)
+        ]
+    )
     ends = df.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
         *[F.min(c).cast("double").alias(f"a{i}") for i, c in enumerate(columns)],
@@ -139,15 +152,16 @@ def _read_off(df: DataFrame, searches: list[_Search]) -> None:
         .orderBy("i", "v")
         .collect()
     )
-    numbers = {(s.column, s.low, s.high): i for i, s in enumerate(intervals)}
+    by_interval: dict[tuple, list] = {}
+    for row in listed:
+        s = intervals[row.i]
+        by_interval.setdefault((s.column, s.low, s.high), []).append(row)
     for s in searches:
-        upto = s.below
-        for row in listed:
-            if row.i == numbers[s.column, s.low, s.high]:
-                upto += row.n
-                if upto > s.rank:
-                    s.answer = row.v
-                    break
+        rows = by_interval.get((s.column, s.low, s.high), [])
+        upto = list(itertools.accumulate(row.n for row in rows))
+        place = bisect.bisect_right(upto, s.rank - s.below)
+        if place < len(rows):
+            s.answer = rows[place].v
 
 
 def _interpolated(searches, column: str, q: float, n: int) -> float | None:

@@ -56,10 +56,9 @@ def fetch_market_data(
     save_format: str = "parquet",
 ) -> DataFrame:
     """One series between two dates, or with ``ticker=None`` every series, ready to train on."""
-    if ticker is None:
-        history = bars.filter((bars.ts >= start) & (bars.ts < end))
-    else:
-        history = fetch_history(bars, ticker, start, end)
+    if macro_series and macro is None:
+        raise ValueError("Macro series are named, but there is no macro table.")
+    history = fetch_history(bars, ticker, start, end)
     wide = fetch_macro(macro, macro_series, start, end) if macro_series else None
     dataset = aligned_dataset(history, wide, macro_fill_method, macro_on)
     if save_path:

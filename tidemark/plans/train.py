@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import label_name
 from tidemark.ml.competition import Candidate, Outcome, run_competition
-from tidemark.ml.selection import SelectionConfig, save_selection
+from tidemark.ml.selection import SelectionConfig, load_selected_features, save_selection
 from tidemark.ml.stages import FeatureAssembler
+from tidemark.ml.tuning import save_tuning
 from tidemark.operators.clean import keep_one_per_key, numbers_to_double
 from tidemark.operators.profile import first_rows, last_rows
 from tidemark.operators.split import TRAIN, temporal_split
@@ -44,6 +45,7 @@ def run_training(
 
     ``config`` has the keys target_column, horizon, split, assembler,
     feature_selection, candidates, extra_steps, primary_metric and model_registry.
+    ``feature_selection.selected_features_path`` names a file whose features are used as they are.
     """
     spark = dataset.sparkSession
     target = config.get("target_column", "Close")
@@ -53,7 +55,10 @@ def run_training(
     label = label_name(target, horizon)
 
     chosen = dict(config.get("feature_selection") or {})
-    selection = selection_from(chosen, split) if chosen.pop("enabled", True) else None
+    given = chosen.get("selected_features_path")
+    selected = load_selected_features(spark, given) if given else None
+    wanted = chosen.pop("enabled", True) and selected is None
+    selection = selection_from(chosen, split) if wanted else None
     assembler = FeatureAssembler(**{"target_column": target, **(config.get("assembler") or {})})
     candidates = [
         Candidate.from_mapping(c) for c in config.get("candidates") or DEFAULT_CANDIDATES
@@ -75,16 +80,22 @@ def run_training(
         config.get("primary_metric", "rmse"),
         [step["type"] for step in config.get("extra_steps") or []],
         run,
+        selected,
     )
     best = outcome.best
     artifact = None
     if selection is not None and chosen.get("artifact_dir"):
         artifact = f"{chosen['artifact_dir']}/{chosen.get('artifact_name', 'selected_features.json')}"
         save_selection(spark, outcome.selection, selection, artifact)
+    saved = save_searches(candidates, outcome)
     if run:
+        for name, path in saved.items():
+            run.log_dict({"path": path, "best_params": tuned_params(outcome, name)}, f"hyperparameters/{name}")
         run.set_tags({"best_candidate": best.name})
         run.log_params(
             {
+                "best_candidate": best.name,
+                "prediction_horizon": horizon,
                 "required_history_lag": assembler.required_history(),
                 "selected_features_count": len(outcome.selection.selected_features),
             }
@@ -92,7 +103,13 @@ def run_training(
         run.log_metrics({f"best_val_{k}": v for k, v in best.metrics_val.items()})
         run.log_metrics({f"best_test_{k}": v for k, v in best.metrics_test.items()})
         run.log_dict(
-            {"selected_features": outcome.selection.selected_features},
+            {
+                "selected_features": outcome.selection.selected_features,
+                "ranking": list(outcome.selection.ranking),
+                "support": [bool(s) for s in outcome.selection.support],
+                "validation_scores": list(outcome.selection.validation_scores),
+                "dropped_features": list(outcome.selection.dropped_features),
+            },
             "feature_selection/selected_features.json",
         )
         run.end()
@@ -121,6 +138,21 @@ def run_training(
     )
 
 
+def save_searches(candidates: list[Candidate], outcome: Outcome) -> dict[str, str]:
+    """Writes the search of each candidate whose tuning names an ``artifact_dir``."""
+    paths = {}
+    for candidate, result in zip(candidates, outcome.results):
+        if result.tuning is not None and candidate.tuning.artifact_dir:
+            tuning = candidate.tuning
+            paths[candidate.name] = f"{tuning.artifact_dir}/{candidate.name}/{tuning.artifact_name}"
+            save_tuning(result.tuning, tuning, paths[candidate.name])
+    return paths
+
+
+def tuned_params(outcome: Outcome, name: str) -> dict:
+    return next(r.params for r in outcome.results if r.name == name)
+
+
 def selection_from(chosen: Mapping, split: Mapping) -> SelectionConfig:
     known = {
         k: v

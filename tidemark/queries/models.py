@@ -382,36 +382,71 @@ def competition_shipped(spark, folder):
 FORECAST_END = "2001-06-15"
 
 
-@query(
-    "forecast_latest",
-    f"""WITH {LEAN_SQL}, recent AS (
-        SELECT series_id, ts, ordinal, "Close" AS c FROM bars
-        WHERE ts >= TIMESTAMP '2001-06-13' AND ts < TIMESTAMP '{FORECAST_END}'),
-      lagged AS (SELECT *, coalesce(lag(c, 1) OVER {_over()}), 0) AS x FROM recent),
-      newest AS (SELECT series_id, max(ts) AS latest, arg_max(x, ts) AS x FROM lagged GROUP BY 1)
-      SELECT series_id, '2001-06-13T00:00:00' AS lookback_start,
+def _forecast_sql(rows: str, need: int, value: str) -> str:
+    """A row per series from the newest of ``rows``, which have the bar's number from the end."""
+    return f"""newest AS (
+        SELECT series_id, max(ts) AS latest, min(ts) AS oldest, count(*) AS n
+        FROM {rows} WHERE back <= {need} GROUP BY 1),
+      known AS (SELECT DISTINCT series_id FROM bars WHERE ts < TIMESTAMP '{FORECAST_END}')
+      SELECT known.series_id, strftime(oldest, '%Y-%m-%dT%H:%M:%S') AS lookback_start,
         '{FORECAST_END}T00:00:00' AS lookback_end, 20::BIGINT AS horizon,
         strftime(CASE isodow(latest) WHEN 6 THEN latest - INTERVAL 1 DAY
           WHEN 7 THEN latest - INTERVAL 2 DAY ELSE latest END + INTERVAL 28 DAY, '%Y-%m-%d')
           AS prediction_date,
-        {num('b + w * x', 'prediction_value', 2)}, true AS date_was_read
-      FROM newest, ols""",
+        {num(f"CASE WHEN n >= {need} THEN {value} END", 'prediction_value', 2)},
+        coalesce(n >= {need}, false) AS complete, true AS date_was_read
+      FROM known LEFT JOIN newest USING (series_id)
+        LEFT JOIN (SELECT * FROM {rows} WHERE back = 1) AS last USING (series_id), ols"""
+
+
+RECENT_SQL = f"""recent AS (
+  SELECT series_id, ts, "Close" AS c,
+    row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) AS back,
+    lag("Close", 1) OVER (PARTITION BY series_id ORDER BY ts) AS x,
+    lag("Close", 20) OVER (PARTITION BY series_id ORDER BY ts) AS x20
+  FROM bars WHERE ts < TIMESTAMP '{FORECAST_END}')"""
+
+
+@query(
+    "forecast_latest",
+    f"WITH {LEAN_SQL}, {RECENT_SQL}, {_forecast_sql('recent', 2, 'b + w * last.x')}",
 )
 def forecast_latest(spark, folder):
-    """The winner of a competition forecasts from the newest bar of every series."""
+    """The winner of a competition forecasts from the newest bars of every series."""
     candidates = [Candidate("linear_regression", "linear_regression")]
     best = _lean_competition(spark, folder, candidates).best.model
     result = forecasting.forecast(
         daily_bars(spark, folder),
         best,
         horizon=HORIZON,
-        history=forecasting.required_history(best),
         prediction_date=FORECAST_END,
         configured_start="1995-01-01",
     )
     return tidy(result, 2)
 
 
+@query(
+    "forecast_twenty_lags",
+    f"""WITH {SPLIT_SQL}, ranked AS (
+        SELECT *, row_number() OVER {_over('series_id, split')}) AS r FROM parts WHERE split = 'train'),
+      lean AS (SELECT coalesce(lag("Close", 20) OVER {_over('series_id')}), 0) AS x, "{LABEL}" AS y
+        FROM ranked WHERE r > 20),
+      ols AS (SELECT regr_slope(y, x) AS w, regr_intercept(y, x) AS b FROM lean),
+      {RECENT_SQL}, {_forecast_sql('recent', 21, 'b + w * last.x20')}""",
+)
+def forecast_twenty_lags(spark, folder):
+    """A forecast from the price twenty bars ago: series need 21 bars, gaps or not."""
+    assembler = FeatureAssembler(target_column=T, **{**LEAN, "lags": [20]})
+    outcome = run_competition(
+        _splits(spark, folder), LABEL, assembler,
+        [Candidate("linear_regression", "linear_regression")], primary_metric="mae",
+    )
+    result = forecasting.forecast(
+        daily_bars(spark, folder), outcome.best.model, horizon=HORIZON, prediction_date=FORECAST_END
+    )
+    return tidy(result, 2)
+
+
 @query(
     "lookback_window",
     f"""WITH {DAILY_SQL} SELECT series_id, {when()}, {nums('Close')} FROM bars

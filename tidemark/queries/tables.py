@@ -20,6 +20,7 @@ from tidemark.queries.fixtures import (
     weekday_bars,
 )
 from tidemark.queries.registry import num, nums, query, tidy, when
+from tidemark.session import setting
 from tidemark.sources import bars as bar_source
 from tidemark.sources.bars import FIELDS
 from tidemark.sources.macro import fetch_macro
@@ -137,11 +138,8 @@ def macro_left_join(spark, folder):
 def macro_join_over_salts(spark, folder):
     """The same join by the way taken when the macro table is too large to broadcast."""
     macro = _macro(spark, folder)
-    spark.conf.set("spark.tidemark.broadcastRows", "0")
-    try:
+    with setting(spark, "spark.tidemark.broadcastRows", "0"):
         joined = align.attach_macro(weekday_bars(spark, folder), macro)
-    finally:
-        spark.conf.unset("spark.tidemark.broadcastRows")
     return tidy(joined)
 
 
@@ -443,17 +441,9 @@ def numbers_for_output(spark, folder):
     )
 
 
-class small_blocks:
+def small_blocks(spark, rows: int = 400):
     """Lets the way for long series run on series of any length."""
-
-    def __init__(self, spark, rows: int = 400):
-        self.spark, self.rows = spark, rows
-
-    def __enter__(self):
-        self.spark.conf.set("spark.tidemark.blockRows", str(self.rows))
-
-    def __exit__(self, *_):
-        self.spark.conf.unset("spark.tidemark.blockRows")
+    return setting(spark, "spark.tidemark.blockRows", str(rows))
 
 
 def _macro(spark, folder):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,20 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for a while; the value it had before comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def block_rows(spark: SparkSession) -> int:
     """Rows one task may hold of one series before the series is cut into blocks."""
     return int(spark.conf.get(BLOCK_ROWS, "1000000"))

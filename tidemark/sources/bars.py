@@ -80,21 +80,25 @@ def bars_from_ticks(
 
 
 def fetch_history(
-    bars: DataFrame, ticker: str, start: datetime | str, end: datetime | str
+    bars: DataFrame, ticker: str | None, start: datetime | str, end: datetime | str
 ) -> DataFrame:
-    """The bars of one series with start <= ts < end; both bounds reach the scan."""
-    if not ticker or not ticker.strip():
+    """The bars of one series, or with None of all, with start <= ts < end.
+
+    Both bounds reach the scan.
+    """
+    if ticker is not None and not ticker.strip():
         raise ValueError("ticker must not be empty.")
     first, last = _moment(start), _moment(end)
     if first >= last:
         raise ValueError("start must lie before end.")
     history = bars.filter(
-        (F.col("series_id") == ticker.strip())
+        (F.lit(True) if ticker is None else F.col("series_id") == ticker.strip())
         & (F.col("ts") >= F.lit(first).cast("timestamp"))
         & (F.col("ts") < F.lit(last).cast("timestamp"))
     )
     if history.isEmpty():
-        raise ValueError(f"No bars for {ticker!r} between {start} and {end}.")
+        name = "any series" if ticker is None else repr(ticker)
+        raise ValueError(f"No bars for {name} between {start} and {end}.")
     return history
 
 

@@ -6,6 +6,7 @@ import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import require_columns
@@ -28,8 +29,8 @@ def load_dataset(
 ) -> DataFrame:
     """Reads what ``save_dataset`` wrote; the suffix of the path names the format.
 
-    A CSV needs a schema, or its header is used with every column but the helper
-    columns read as double.
+    Of a CSV without a schema the header is used: the helper columns have their types, other
+    columns are double if every value is a number, else text. That takes one more pass.
     """
     path = dataset_path(config)
     fmt = os.path.splitext(path.rstrip("/"))[1].lstrip(".")
@@ -40,7 +41,7 @@ def load_dataset(
     if schema is None:
         found = spark.read.format(fmt).option("header", True).load(path).schema
         # A folder name such as series_id=007 would be read as a number.
-        schema = _csv_schema(found.names) if fmt == "csv" else _text_keys(found)
+        schema = _csv_schema(spark, path, found.names) if fmt == "csv" else _text_keys(found)
     return spark.read.schema(schema).format(fmt).option("header", True).load(path)
 
 
@@ -79,9 +80,19 @@ def _text_keys(found: T.StructType) -> T.StructType:
     )
 
 
-def _csv_schema(columns: list[str]) -> T.StructType:
+def _csv_schema(spark: SparkSession, path: str, columns: list[str]) -> T.StructType:
     types = {"series_id": T.StringType(), "ts": T.TimestampType(), "ordinal": T.LongType()}
-    return T.StructType([T.StructField(c, types.get(c, T.DoubleType())) for c in columns])
+    others = [c for c in columns if c not in types]
+    if others:
+        every = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        rows = spark.read.schema(every).option("header", True).csv(path)
+        text = [
+            F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull())
+            for c in others
+        ]
+        found = rows.agg(*[t.alias(f"c{i}") for i, t in enumerate(text)]).first()
+        types |= {c: T.StringType() if found[i] else T.DoubleType() for i, c in enumerate(others)}
+    return T.StructType([T.StructField(c, types[c]) for c in columns])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
