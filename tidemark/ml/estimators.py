@@ -100,7 +100,12 @@ def _forest(label: str, params: dict) -> Estimator:
         RandomForestRegressor,
         label,
         {"n_estimators": 100, "max_depth": None, **params},
-        {**_TREE_PARAMS, "n_estimators": "numTrees"},
+        {
+            **_TREE_PARAMS,
+            "n_estimators": "numTrees",
+            "bootstrap": "bootstrap",
+            "max_features": "featureSubsetStrategy",
+        },
         featureSubsetStrategy="all",
     )
 

@@ -203,6 +203,62 @@ def _tree_predictions(spark, folder, name, params):
     return tidy(predicted.select("series_id", "ts", "split", "prediction"), 2)
 
 
+WEEKDAYS_SQL = f"""{DAILY_SQL}, b AS (SELECT isodow(ts) - 1 AS x, "Close" AS y FROM bars)"""
+
+
+def _stump_sql(name: str, rows: str) -> str:
+    """The two means of ``rows`` (x, y) at the split of x that leaves the least squared error."""
+    side = "count(*) FILTER ({0}) * var_pop(y) FILTER ({0})"
+    return f"""{name}_cut AS (
+        SELECT t FROM (
+          SELECT c.t, r.x, r.y FROM {rows} r, (SELECT DISTINCT x AS t FROM {rows}) c
+          WHERE c.t < (SELECT max(x) FROM {rows})) GROUP BY t
+        ORDER BY {side.format('x <= t')} + {side.format('x > t')} LIMIT 1),
+      {name} AS (SELECT t, avg(y) FILTER (x <= t) AS low, avg(y) FILTER (x > t) AS high
+        FROM {rows}, {name}_cut GROUP BY t)"""
+
+
+ONE_SPLIT_SQL = f"""WITH {WEEKDAYS_SQL}, {_stump_sql('s', 'b')}
+  SELECT DISTINCT x::BIGINT AS weekday,
+    {num('CASE WHEN x <= t THEN low ELSE high END', 'prediction', 2)} FROM b, s"""
+
+
+def _weekday_predictions(spark, folder, name, params):
+    """What a model of the close by the day of the week predicts for each day."""
+    bars = daily_bars(spark, folder).select(F.weekday("ts").cast("double").alias("weekday"), "Close")
+    rows = VectorAssembler(inputCols=["weekday"], outputCol="features").transform(bars)
+    model = create_estimator(name, params, "Close").fit(rows)
+    days = model.transform(rows.select("weekday", "features").dropDuplicates(["weekday"]))
+    return tidy(days.select(F.col("weekday").cast("long").alias("weekday"), "prediction"), 2)
+
+
+@query("dt_one_split", ONE_SPLIT_SQL)
+def dt_one_split(spark, folder):
+    return _weekday_predictions(spark, folder, "decision_tree", {"max_depth": 1})
+
+
+@query("rf_without_bootstrap", ONE_SPLIT_SQL)
+def rf_without_bootstrap(spark, folder):
+    """Trees on all rows and all features are equal, and so is their mean."""
+    params = {"n_estimators": 3, "max_depth": 1, "bootstrap": False}
+    return _weekday_predictions(spark, folder, "random_forest", params)
+
+
+@query(
+    "gbt_two_stumps",
+    f"""WITH {WEEKDAYS_SQL}, {_stump_sql('s', 'b')},
+      r AS (SELECT x, 2 * (y - CASE WHEN x <= t THEN low ELSE high END) AS y FROM b, s),
+      {_stump_sql('u', 'r')}
+      SELECT DISTINCT x::BIGINT AS weekday,
+        {num('CASE WHEN x <= s.t THEN s.low ELSE s.high END + 0.25 * CASE WHEN x <= u.t THEN u.low ELSE u.high END', 'prediction', 2)}
+      FROM b, s, u""",
+)
+def gbt_two_stumps(spark, folder):
+    """The second stump is fitted to the gradient, twice the error, and counts a quarter."""
+    params = {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.25}
+    return _weekday_predictions(spark, folder, "gradient_boosting", params)
+
+
 @query("dt_fit")
 def dt_fit(spark, folder):
     return _tree_predictions(spark, folder, "decision_tree", {"max_depth": 5, "random_state": 7})
@@ -264,8 +320,7 @@ def grid_search(spark, folder):
 ALPHAS = (1, 10**14, 10**15)
 
 
-@query(
-    "grid_search_one_feature",
+ONE_FEATURE_SEARCH_SQL = (
     f"""WITH {SPLIT_SQL}, tr AS (
         SELECT *, row_number() OVER {_over()}) - 1 AS q, count(*) OVER (PARTITION BY series_id) AS m
         FROM parts WHERE split = 'train'),
@@ -285,15 +340,29 @@ ALPHAS = (1, 10**14, 10**15)
       means AS (SELECT alpha, avg(score) AS m, stddev_pop(score) AS s FROM scores GROUP BY 1)
       SELECT '{{"estimator__alpha": ' || alpha || '}}' AS params, {num('m', 'mean_test_score')},
         {num('s', 'std_test_score')}, rank() OVER (ORDER BY m DESC)::BIGINT AS rank_test_score
-      FROM means""",
+      FROM means"""
 )
+
+
+@query("grid_search_one_feature", ONE_FEATURE_SEARCH_SQL)
 def grid_search_one_feature(spark, folder):
     """Three penalties on expanding folds, features built inside each fold's train and test."""
+    return _one_feature_search(spark, folder)
+
+
+@query("random_search_whole_grid", ONE_FEATURE_SEARCH_SQL)
+def random_search_whole_grid(spark, folder):
+    """As many draws as the grid has sets: without repetition that is the grid."""
+    return _one_feature_search(spark, folder, strategy="random", n_iter=len(ALPHAS), random_state=1)
+
+
+def _one_feature_search(spark, folder, **more):
     config = TuningConfig(
         param_grid={"estimator__alpha": list(ALPHAS)},
         gap=1,
         scoring="neg_mean_absolute_percentage_error",
         refit=False,
+        **more,
     )
     stages = feature_stages(FeatureAssembler(target_column=T, **LEAN), None)
     train = freeze(_train(spark, folder))
