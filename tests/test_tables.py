@@ -470,3 +470,19 @@ def test_ingest_of_all_series_checks_its_range(spark, bars):
 def test_quantiles_ignore_nan(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (2.0,)], "x double")
     assert quantiles.exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]) == {"x": [1.0, 2.0, 3.0]}
+
+
+@pytest.mark.parametrize("interval", ["1d", "36h", "1wk", "1mo"])
+def test_bounds_reach_the_ticks(spark, tmp_path, interval):
+    """Bounded bars are the bounded part of all bars, and both bounds are pushed to the scan."""
+    draw = random.Random(2)
+    rows = [("s", START + timedelta(hours=7 * i), i, draw.uniform(1, 9)) for i in range(400)]
+    path = str(tmp_path / "ticks")
+    spark.createDataFrame(rows, "s string, t timestamp, id long, p double").write.parquet(path)
+    make = lambda **more: bar_source.bars_from_ticks(
+        spark.read.parquet(path), series="s", ts="t", price="p", order=["id"], interval=interval, **more)
+    bounded = make(start="2024-02-05", end="2024-03-11")
+    want = make().filter("ts >= '2024-02-05' and ts < '2024-03-11'")
+    assert sorted(map(tuple, bounded.collect())) == sorted(map(tuple, want.collect())) != []
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(t," in plan and "LessThan(t," in plan

@@ -15,7 +15,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def daily_bars(spark: SparkSession, folder: str) -> DataFrame:
+def daily_bars(
+    spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """One series per order priority; the order key says which order came first."""
     return bars_from_ticks(
         table(spark, folder, "orders"),
@@ -23,6 +25,8 @@ def daily_bars(spark: SparkSession, folder: str) -> DataFrame:
         ts="o_orderdate",
         price="o_totalprice",
         order=["o_orderkey"],
+        start=start,
+        end=end,
     )
 
 

@@ -522,10 +522,11 @@ def forecast_twenty_lags(spark, folder):
         WHERE ts >= TIMESTAMP '2000-03-24' AND ts < TIMESTAMP '2000-06-16'""",
 )
 def lookback_window(spark, folder):
-    """Sixty business days before a date; the bounds are literals in the filter."""
+    """Sixty business days before a date; the bounds are literals in the filter and in the scan."""
     end = F.lit("2000-06-16").cast("timestamp")
     start = forecasting.lookback_start(end, 60, "1995-01-01")
-    bars = daily_bars(spark, folder).filter((F.col("ts") >= start) & (F.col("ts") < end))
+    first = spark.range(1).select(start.cast("string")).first()[0]
+    bars = daily_bars(spark, folder, first, "2000-06-16")
     return tidy(bars.select("series_id", "ts", "Close"))
 
 

@@ -69,7 +69,9 @@ def bars_weekly_volume(spark, folder):
 )
 def history_of_one_series(spark, folder):
     return tidy(
-        bar_source.fetch_history(daily_bars(spark, folder), "5-LOW", "1996-01-01", "1998-01-01")
+        bar_source.fetch_history(
+            daily_bars(spark, folder, "1996-01-01", "1998-01-01"), "5-LOW", "1996-01-01", "1998-01-01"
+        )
     )
 
 

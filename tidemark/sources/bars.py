@@ -22,6 +22,7 @@ FIELDS = (*PRICES, "Volume")
 
 _UNIT_SECONDS = {"m": 60, "h": 3600, "d": 86400}
 _CALENDAR = {"1wk": "week", "1mo": "month", "3mo": "quarter"}
+_LONGEST_DAYS = {"1wk": 7, "1mo": 31, "3mo": 92}
 
 # Timestamps counted in nanoseconds since 1970 span 584 years, from 1677 to 2262.
 _CALENDAR_DAYS = 584 * 366
@@ -52,13 +53,25 @@ def bars_from_ticks(
     order: Sequence[str],
     interval: str = "1d",
     volume: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """One bar per series and interval; ``order`` says which tick came first.
 
+    With bounds, bars with start <= ts < end. Bounds on the ticks' own time reach the scan: a bar
+    from ``start`` on has no earlier tick, and one before ``end`` none an interval later.
+
     The aggregates combine on the map side, so a hot series or day costs no more
     than any other. Volume is the number of ticks unless a column is named.
     """
     require_columns(ticks, [series, ts, price, *order, volume])
+    kind = ticks.schema[ts].dataType
+    if start is not None:
+        ticks = ticks.filter(F.col(ts) >= F.lit(start).cast("timestamp").cast(kind))
+    if end is not None:
+        longest = f"{_LONGEST_DAYS.get(interval) or -(-_interval_seconds(interval) // 86400)} days"
+        last = F.lit(end).cast("timestamp") + F.expr(f"INTERVAL {longest}")
+        ticks = ticks.filter(F.col(ts) < last.cast(kind))
     rank = _rank(ticks, order)
     amount = F.sum(F.col(volume)) if volume else F.count(F.lit(1))
     bars = (
@@ -76,6 +89,10 @@ def bars_from_ticks(
             amount.cast("double").alias("Volume"),
         )
     )
+    if start is not None:
+        bars = bars.filter(F.col("ts") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        bars = bars.filter(F.col("ts") < F.lit(end).cast("timestamp"))
     return declare_rows_per_series(bars, rows_per_series(interval))
 
 
