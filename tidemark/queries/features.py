@@ -14,7 +14,6 @@ from tidemark.queries.fixtures import (
     daily_bars,
     hourly_bars,
     table,
-    weekday_bars,
 )
 from tidemark.queries.registry import num, nums, query, tidy, when
 from tidemark.queries.tables import JOINED_SQL, MACRO_NAMES, _macro, small_blocks
@@ -282,7 +281,7 @@ def _scaled_sql(centre: str, scale: str) -> str:
 
 
 def _scaled(spark, folder, kind):
-    joined = attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     statistics = scaling.fit_scaler(joined, SCALED, kind)
     return tidy(scaling.apply_scaler(joined, statistics).select("series_id", "ts", *SCALED))
 
@@ -311,13 +310,13 @@ def scale_robust(spark, folder):
 @query(
     "imputation_means",
     f"WITH {JOINED_SQL} SELECT "
-    + ", ".join(num(f'coalesce(avg("{c}"), 0)', c, 2) for c in (*FIELDS, *MACRO_NAMES))
+    + ", ".join(num(f'coalesce(avg("{c}"), 0)', c) for c in (*FIELDS, *MACRO_NAMES))
     + " FROM joined",
 )
 def imputation_means(spark, folder):
-    joined = attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     means = scaling.column_means(joined, (*FIELDS, *MACRO_NAMES))
-    return tidy(spark.range(1).select(*[F.lit(v).alias(c) for c, v in means.items()]), 2)
+    return tidy(spark.range(1).select(*[F.lit(v).alias(c) for c, v in means.items()]))
 
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -354,7 +353,7 @@ pairs(i, j, a, b, corr) AS (""" + " UNION ALL ".join(
 
 
 def _correlation_input(spark, folder):
-    joined = attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     return joined.select("*", features.amplitude_column(), features.nominal_column())
 
 

@@ -46,23 +46,24 @@ def hourly_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def macro_long(spark: SparkSession, folder: str) -> DataFrame:
-    """Flag A on every day, flag N on Wednesdays from 1996 on, flag R on Sundays only."""
-    day = F.weekday("ts")
-    kept = (
-        (F.col("flag") == "A")
-        | ((F.col("flag") == "N") & (day == 2) & (F.col("ts") >= "1996-01-01"))
-        | ((F.col("flag") == "R") & (day == 6))
-    )
+    """All rows of a flag make one series, with gaps of its own.
+
+    Flag A is observed on every day at midnight, flag N at the end of each quarter (so the first
+    bars lie before its first value), flag R at noon (so it meets no daily bar).
+    """
+    flag = F.col("l_returnflag")
+    day = F.date_trunc("day", F.col("l_shipdate").cast("timestamp"))
+    quarter_end = F.date_trunc("quarter", day) + F.expr("INTERVAL 3 MONTHS") - F.expr("INTERVAL 1 DAY")
+    moment = F.when(flag == "A", day).when(flag == "N", quarter_end)
     names = F.create_map(*[F.lit(v) for pair in MACROS.items() for v in pair])
     return (
         table(spark, folder, "lineitem")
         .select(
-            F.col("l_returnflag").alias("flag"),
-            F.date_trunc("day", F.col("l_shipdate").cast("timestamp")).alias("ts"),
+            names[flag].alias("macro_id"),
+            moment.otherwise(day + F.expr("INTERVAL 12 HOURS")).alias("ts"),
             "l_extendedprice",
         )
-        .filter(kept)
-        .groupBy(names[F.col("flag")].alias("macro_id"), "ts")
+        .groupBy("macro_id", "ts")
         .agg(F.max("l_extendedprice").alias("value"))
     )
 
@@ -92,12 +93,11 @@ MACRO_SQL = """
 macro AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 'macro_a' WHEN 'N' THEN 'macro_n' ELSE 'macro_r' END
            AS macro_id,
-         date_trunc('day', l_shipdate)::TIMESTAMP AS ts, max(l_extendedprice) AS "value"
-  FROM lineitem
-  WHERE l_returnflag = 'A'
-     OR (l_returnflag = 'N' AND isodow(l_shipdate) = 3 AND l_shipdate >= TIMESTAMP '1996-01-01')
-     OR (l_returnflag = 'R' AND isodow(l_shipdate) = 7)
-  GROUP BY 1, 2),
+         CASE l_returnflag WHEN 'A' THEN date_trunc('day', l_shipdate)
+           WHEN 'N' THEN date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTH - INTERVAL 1 DAY
+           ELSE date_trunc('day', l_shipdate) + INTERVAL 12 HOUR END::TIMESTAMP AS ts,
+         max(l_extendedprice) AS "value"
+  FROM lineitem GROUP BY 1, 2),
 macro_wide AS (
   SELECT ts, max("value") FILTER (WHERE macro_id = 'macro_a') AS macro_a,
          max("value") FILTER (WHERE macro_id = 'macro_n') AS macro_n,

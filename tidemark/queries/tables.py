@@ -124,16 +124,16 @@ def macro_wide(spark, folder):
     return tidy(_macro(spark, folder))
 
 
-JOINED_SQL = f"""{WEEKDAY_SQL}, {MACRO_SQL},
+JOINED_SQL = f"""{DAILY_SQL}, {MACRO_SQL},
 joined AS (SELECT b.*, macro_a, macro_n, macro_r
-           FROM weekday_bars b LEFT JOIN macro_wide m ON b.ts = m.ts)"""
+           FROM bars b LEFT JOIN macro_wide m ON b.ts = m.ts)"""
 MACRO_NAMES = ("macro_a", "macro_n", "macro_r")
 JOINED_OUT = f"{BARS_OUT}, {nums(*MACRO_NAMES)}"
 
 
 @query("macro_left_join", f"WITH {JOINED_SQL} SELECT {JOINED_OUT} FROM joined")
 def macro_left_join(spark, folder):
-    return tidy(align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder)))
+    return tidy(align.attach_macro(daily_bars(spark, folder), _macro(spark, folder)))
 
 
 @query("macro_join_over_salts", f"WITH {JOINED_SQL} SELECT {JOINED_OUT} FROM joined")
@@ -141,24 +141,29 @@ def macro_join_over_salts(spark, folder):
     """The same join by the way taken when the macro table is too large to broadcast."""
     macro = _macro(spark, folder)
     with setting(spark, "spark.tidemark.broadcastRows", "0"):
-        joined = align.attach_macro(weekday_bars(spark, folder), macro)
+        joined = align.attach_macro(daily_bars(spark, folder), macro)
     return tidy(joined)
 
 
 @query(
     "macro_join_on_date",
-    f"""WITH {HOURLY_SQL}, macro AS (
-          SELECT l_shipdate::DATE + 8400 AS d, max(l_extendedprice) AS macro_a
-          FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
-        SELECT {BARS_OUT}, {num('macro_a')} FROM bars LEFT JOIN macro ON bars.ts::DATE = d""",
+    f"""WITH {HOURLY_SQL}, {MACRO_SQL}, day AS (
+          SELECT ts::DATE + 8400 AS d, arg_max("value", ts) AS macro_day
+          FROM macro WHERE macro_id <> 'macro_n' GROUP BY 1)
+        SELECT {BARS_OUT}, {num('macro_day')} FROM bars LEFT JOIN day ON bars.ts::DATE = d""",
 )
 def macro_join_on_date(spark, folder):
+    """Two observations of most days, at midnight and at noon: the later one counts."""
     shifted = (
         macro_long(spark, folder)
-        .filter(F.col("macro_id") == "macro_a")
-        .select("macro_id", F.date_add("ts", 8400).cast("timestamp").alias("ts"), "value")
+        .filter(F.col("macro_id") != "macro_n")
+        .select(
+            F.lit("macro_day").alias("macro_id"),
+            (F.col("ts") + F.expr("INTERVAL 8400 DAYS")).alias("ts"),
+            "value",
+        )
     )
-    macro = fetch_macro(shifted, ["macro_a"])
+    macro = fetch_macro(shifted, ["macro_day"])
     return tidy(align.attach_macro(hourly_bars(spark, folder), macro, on="date"))
 
 
@@ -180,7 +185,7 @@ def _fill_sql(first: str, second: str) -> str:
     f"WITH {JOINED_SQL} SELECT {BARS_OUT}, {_fill_sql('forward', 'backward')} FROM joined",
 )
 def macro_ffill_bfill(spark, folder):
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     return tidy(align.fill_macro(joined, MACRO_NAMES, "ffill"))
 
 
@@ -189,7 +194,7 @@ def macro_ffill_bfill(spark, folder):
     f"WITH {JOINED_SQL} SELECT {BARS_OUT}, {_fill_sql('backward', 'forward')} FROM joined",
 )
 def macro_bfill_ffill(spark, folder):
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     return tidy(align.fill_macro(joined, MACRO_NAMES, "bfill"))
 
 
@@ -199,7 +204,7 @@ def macro_bfill_ffill(spark, folder):
 )
 def macro_fill_in_blocks(spark, folder):
     """The same fills by the way taken for long series, with small blocks."""
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     with small_blocks(spark):
         return tidy(align.fill_macro(joined, MACRO_NAMES, "ffill"))
 
@@ -214,7 +219,7 @@ def macro_fill_in_blocks(spark, folder):
 )
 def clean_ingest(spark, folder):
     """Join, fill, drop the macro column that never matches, drop incomplete bars, cast."""
-    return tidy(aligned_dataset(weekday_bars(spark, folder), _macro(spark, folder)))
+    return tidy(aligned_dataset(daily_bars(spark, folder), _macro(spark, folder)))
 
 
 DEDUP_SQL = """SELECT o_orderpriority AS series_id, {when}, o_orderkey AS ordinal, {price}
@@ -264,7 +269,7 @@ def impose_fitted_columns(spark, folder):
         FROM joined""",
 )
 def fill_missing_values(spark, folder):
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     return tidy(clean.fill_missing(joined).select("series_id", "ts", *MACRO_NAMES))
 
 
@@ -274,7 +279,7 @@ def fill_missing_values(spark, folder):
         FROM joined WHERE macro_n IS NOT NULL AND "Close" IS NOT NULL""",
 )
 def drop_incomplete_rows(spark, folder):
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     kept = clean.drop_rows_with_nulls(joined, ["Close", "macro_n"])
     return tidy(kept.select("series_id", "ts", "Close", "macro_n"))
 
@@ -287,7 +292,7 @@ def drop_incomplete_rows(spark, folder):
            UNPIVOT x ON COLUMNS(*) INTO NAME "column" VALUE nulls)""",
 )
 def null_profile(spark, folder):
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     return tidy(profile.null_counts(joined, (*FIELDS, *MACRO_NAMES)))
 
 
@@ -299,7 +304,7 @@ def null_profile(spark, folder):
            UNPIVOT x ON COLUMNS(*) INTO NAME "column" VALUE n)""",
 )
 def completeness(spark, folder):
-    joined = align.attach_macro(weekday_bars(spark, folder), _macro(spark, folder))
+    joined = align.attach_macro(daily_bars(spark, folder), _macro(spark, folder))
     return tidy(profile.completeness(joined, (*FIELDS, *MACRO_NAMES)))
 
 
