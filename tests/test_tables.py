@@ -16,7 +16,7 @@ from tests.conftest import START, series, values
 from tidemark.operators import align, clean, metrics, moments, profile, quantiles, scaling
 from tidemark.operators.split import add_label, expanding_folds, temporal_split
 from tidemark.plans.ingest import aligned_dataset, fetch_market_data, ingest_from_config
-from tidemark.session import shared_folder
+from tidemark.session import fits_broadcast, scratch, shared_folder, write_shared
 from tidemark.sources import bars as bar_source
 from tidemark.sources.files import dataset_path, load_dataset, save_dataset
 from tidemark.sources.macro import fetch_macro
@@ -486,3 +486,19 @@ def test_bounds_reach_the_ticks(spark, tmp_path, interval):
     assert sorted(map(tuple, bounded.collect())) == sorted(map(tuple, want.collect())) != []
     plan = bounded._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(t," in plan and "LessThan(t," in plan
+
+
+def test_scratch_removes_frozen_tables(spark):
+    with scratch(spark):
+        path = write_shared(spark.range(3))
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+
+
+def test_broadcast_limit_counts_width(spark):
+    spark.conf.set("spark.tidemark.broadcastRows", "100")
+    narrow = spark.range(90)
+    wide = narrow.selectExpr("id", *[f"id AS c{i}" for i in range(30)])
+    assert fits_broadcast(narrow) and not fits_broadcast(wide) and fits_broadcast(wide.limit(20))
+    spark.conf.unset("spark.tidemark.broadcastRows")

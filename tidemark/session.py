@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 BLOCK_ROWS = "spark.tidemark.blockRows"
 BROADCAST_ROWS = "spark.tidemark.broadcastRows"
@@ -58,8 +59,14 @@ def broadcast_rows(spark: SparkSession) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Counts at most one row more than the limit, so the check itself stays small."""
-    limit = broadcast_rows(df.sparkSession)
+    """Whether rows times width stay small; the limit in rows is for tables of 8 plain columns.
+
+    Text counts as four columns, nested values as sixteen. At most one row more than the limit is
+    counted, so the check itself stays small.
+    """
+    weight = {T.StringType: 4, T.BinaryType: 4, T.ArrayType: 16, T.MapType: 16, T.StructType: 16}
+    width = sum(weight.get(type(f.dataType), 1) for f in df.schema.fields)
+    limit = broadcast_rows(df.sparkSession) * 8 // max(8, width)
     return df.limit(limit + 1).count() <= limit
 
 
@@ -75,9 +82,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_OPEN_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are frozen inside are removed at the end; read or write results before."""
+    _OPEN_SCRATCH.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in _OPEN_SCRATCH.pop():
+            place = hadoop.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_shared(df: DataFrame) -> str:
     """Writes ``df`` to a new table in the shared folder and returns its path."""
     path = f"{shared_folder(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
+    if _OPEN_SCRATCH:
+        _OPEN_SCRATCH[-1].append(path)
     df.write.parquet(path)
     return path
 
