@@ -314,14 +314,23 @@ def test_near_duplicates_many_copies(spark):
     assert tuples(found, *names) == sorted(brute.near_duplicates(rows), key=repr)
 
 
-def test_lanes_count_agreements(spark):
-    draw = random.Random(4)
-    a = [draw.randrange(-(2**63), 2**63) for _ in range(16)]
-    b = [x ^ (draw.getrandbits(64) & draw.getrandbits(64) & draw.getrandbits(63)) for x in a]
-    df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>")
-    same = df.select(near_dups.agreements(F.col("a"), F.col("b"))).first()[0]
-    lane = lambda x, k: (x >> (4 * k)) & 15
-    assert same == sum(lane(x, k) == lane(y, k) for x, y in zip(a, b) for k in range(16)) < 256
+def test_finer_signatures(spark):
+    """Their agreement estimates the similarity of two sets."""
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 2**63, 2000, dtype=np.uint64)
+    other = base.copy()
+    other[:250] = draw.integers(0, 2**63, 250, dtype=np.uint64)
+    found = near_dups.coordinate_minima([base, other, base], near_dups.FINE, 23)
+    assert (found[0] == found[2]).all()
+    same = np.mean(found[0] == found[1])
+    assert abs(same - 1750 / 2250) < 0.08
+    longs = np.packbits((found & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+    names = [f"{side}{i}" for side in "ab" for i in range(near_dups.FINE // 64)]
+    row = [int(x) for x in (*longs[0], *longs[1])]
+    df = spark.createDataFrame([row], ", ".join(f"{n} long" for n in names))
+    agree = df.select(near_dups.agreements("a", "b")).first()[0]
+    assert agree == int(((found[0] ^ found[1]) & np.uint64(1) == 0).sum())
+    assert abs(agree / near_dups.FINE - (1 + 1750 / 2250) / 2) < 0.06
 
 
 # Top-k

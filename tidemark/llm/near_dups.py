@@ -14,9 +14,9 @@ documents that share 32 values must share one of those (values in one order of r
 start. Every class is first compared with one centre: of the centres (the member with the most
 frequent values) of its lists the most central one. Groups that this joins need no more pairs
 inside. Only lists that still hold several groups are merged, between groups, in two rounds: first
-the pairs whose finer signatures (256 coordinates of four bits) agree as pairs above the wanted
+the pairs whose finer signatures (one bit of each of 512 coordinates) agree as pairs above the wanted
 similarity do, which connects nearly all of a group; then all others whose agreement leaves a chance
-above 1e-6. A pair is taken from the first list it shares. All pairs taken are confirmed on the full
+above 2e-6. A pair is taken from the first list it shares. All pairs taken are confirmed on the full
 sets, so every link that could join two groups is looked at.
 
 Groups are connected components: labels go to the least one, round by round, with jumps; each round
@@ -46,13 +46,17 @@ from tidemark.session import freeze
 WORDS = 5
 COORDINATES = 64
 AGREE = 32
-#: Coordinates of the finer signature, and their agreements asked for in the two rounds. Four bits
-#: agree by chance once in 16 times: a pair at 0.75 has 196 agreements on average, deviation 6.8.
-FINE = 256
-ROUNDS = (195, 164)
+#: Coordinates of the finer signature, one bit of each, and their agreements asked for in the two
+#: rounds. A bit agrees by chance every other time: a pair at 0.75 has 448 agreements on average,
+#: with a deviation of 7.5.
+FINE = 512
+ROUNDS = (446, 412)
 #: A link has PERCENT * union <= 100 * intersection.
 PERCENT = 75
 
+#: Word hashes that a worker remembers at most.
+MEMORY = 200_000
+
 _SCHEMA = "doc_id long, r1 long, r2 long, ck binary, n_shingles long, sig array<long>"
 
 
@@ -60,7 +64,7 @@ class _Hashes(dict):
     """Hash of a word; forgets all when it has grown too large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= MEMORY:
             self.clear()
         value = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
@@ -154,9 +158,9 @@ def signatures(
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> DataFrame:
-    """ck, ``hashes`` (sorted, 8 bytes each) and ``fine`` for each class in ``wanted``.
+    """node, ``hashes`` (sorted, 8 bytes each) and ``fine`` for each class (ck, node) in ``wanted``.
 
-    ``fine`` holds four bits of each of 256 coordinates, 16 coordinates to a long.
+    ``fine`` holds one bit of each of 512 coordinates, 64 coordinates to a long.
     """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,45 +176,35 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> D
                 part = batch.slice(at, 200)
                 sets = [shingle_set(words_of(t), words, known) for t in part.column(1).to_pylist()]
                 raw = [s.astype("<u8").tobytes() for s in sets]
-                lanes = coordinate_minima(sets, FINE, 23) & np.uint64(15)
-                lanes = lanes.reshape(len(sets), FINE // 16, 16) << (4 * np.arange(16, dtype=np.uint64))
-                flat = np.bitwise_or.reduce(lanes, axis=2).view(np.int64).reshape(-1)
-                offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (FINE // 16))
+                bits = (coordinate_minima(sets, FINE, 23) & np.uint64(1)).astype(np.uint8)
+                flat = np.packbits(bits, axis=1, bitorder="little").view(np.int64).reshape(-1)
+                offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (FINE // 64))
                 fine = pa.ListArray.from_arrays(offsets, pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(raw, pa.binary()), fine], ["ck", "hashes", "fine"]
+                    [part.column(0), pa.array(raw, pa.binary()), fine], ["node", "hashes", "fine"]
                 )
 
     texts = docs.select(text_or_empty(text).alias("t")).mapInArrow(name, "ck binary, t string")
-    return texts.join(wanted, "ck", "left_semi").dropDuplicates(["ck"]).mapInArrow(
-        run, "ck binary, hashes binary, fine array<long>"
-    )
+    once = texts.join(wanted, "ck").dropDuplicates(["ck"]).select("node", "t")
+    return once.mapInArrow(run, "node long, hashes binary, fine array<long>")
 
 
-def agreements(a: Column, b: Column) -> Column:
-    """In how many of the 256 lanes two finer signatures agree.
-
-    Each lane's bits are folded onto its lowest one, which then says that the lane differs.
-    """
-    counts = []
-    for i in range(FINE // 16):
-        differ = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for shift in (2, 1):
-            differ = differ.bitwiseOR(F.shiftrightunsigned(differ, shift))
-        counts.append(F.bit_count(differ.bitwiseAND(F.lit(0x1111111111111111))))
-    return F.lit(FINE) - reduce(lambda x, y: x + y, counts)
+def agreements(a: str, b: str) -> Column:
+    """In how many bits two finer signatures agree; their longs are the columns a0, a1, .. and b0, .."""
+    differ = [F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(FINE // 64)]
+    return F.lit(FINE) - reduce(lambda x, y: x + y, differ)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
-    left = sets.select(F.col("ck").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("ck").alias("b"), F.col("hashes").alias("right"))
+    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(
@@ -219,7 +213,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             )
 
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -255,11 +249,12 @@ def near_duplicates(
     Beside them r1 and r2, the name of the row, and ``stays``: true for one row of each group.
     """
     rows = freeze(signatures(docs, doc_id, text, words, coordinates))
-    edges = links(docs, rows, text, words, coordinates, agree, percent)
-    labels = components(edges)
-    labelled = rows.drop("sig").join(labels.withColumnRenamed("node", "ck"), "ck", "left")
+    labels = class_labels(docs, rows, text, words, agree, percent)
+    labelled = rows.drop("sig").join(labels, "ck", "left")
     alone = F.concat(F.lit(b"empty"), F.hex("r1").cast("binary"), F.hex("r2").cast("binary"))
-    group = F.when(F.col("n_shingles") == 0, alone).otherwise(F.coalesce("label", "ck"))
+    group = F.when(F.col("n_shingles") == 0, alone).otherwise(
+        F.coalesce(F.hex("label").cast("binary"), "ck")
+    )
     labelled = labelled.withColumn("group", group)
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "r1", "r2")
     first = labelled.groupBy("group").agg(F.min(order).alias("first"))
@@ -272,64 +267,73 @@ def near_duplicates(
     )
 
 
-def links(
-    docs: DataFrame, rows: DataFrame, text: str, words: int, coordinates: int, agree: int, percent: int
+def class_labels(
+    docs: DataFrame, rows: DataFrame, text: str, words: int, agree: int, percent: int
 ) -> DataFrame:
-    """Confirmed links between classes, enough of them to connect all that are alike."""
+    """ck, label: the same label for all classes of a group; classes without a partner are absent.
+
+    Enough confirmed links are found to connect all that are alike.
+    """
     # Copies have the same signature, so any one stands for its class.
-    classes = freeze(
-        rows.filter("n_shingles > 0").select("ck", "n_shingles", "sig").dropDuplicates(["ck"])
-    )
+    classes = freeze(rows.filter("n_shingles > 0").select("ck", "sig").dropDuplicates(["ck"]))
     postings = classes.select("ck", F.explode("sig").alias("value"))
     counts = postings.groupBy("value").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = postings.join(counts, "value").groupBy("ck").agg(
         F.sort_array(F.collect_list(F.struct("c", "value"))).alias("shared")
     )
     prefix = F.slice("shared", 1, F.size("shared") - agree + 1)
+    # Written, the numbers given here are fixed; they are shorter to carry than class keys.
     posted = freeze(
-        shared.filter(F.size("shared") >= agree)
-        .select(
-            "ck", prefix["value"].alias("prefix"),
+        shared.filter(F.size("shared") >= agree).select(
+            F.monotonically_increasing_id().alias("node"), "ck", prefix["value"].alias("prefix"),
             F.aggregate("shared", F.lit(0).cast("long"), lambda s, x: s + x["c"]).alias("score"),
         )
     )
-    sets = freeze(shingle_sets(docs, posted.select("ck"), text, words))
+    sets = freeze(shingle_sets(docs, posted.select("ck", "node"), text, words))
 
     # Every class with the most central of the centres of its lists.
-    listed = posted.select("ck", "score", F.explode("prefix").alias("value"))
+    listed = posted.select("node", "score", F.explode("prefix").alias("value"))
     centre = listed.groupBy("value").agg(
-        F.max(F.struct("score", "ck")).alias("centre"), F.count(F.lit(1)).alias("n")
+        F.max(F.struct("score", "node")).alias("centre"), F.count(F.lit(1)).alias("n")
     )
     stars = (
         listed.join(centre.filter("n > 1"), "value")
-        .filter(F.col("centre.ck") != F.col("ck"))
-        .groupBy("ck")
+        .filter(F.col("centre.node") != F.col("node"))
+        .groupBy("node")
         .agg(F.max("centre").alias("centre"))
-        .select(F.col("ck").alias("a"), F.col("centre.ck").alias("b"))
+        .select(F.col("node").alias("a"), F.col("centre.node").alias("b"))
     )
     edges = freeze(confirmed(stars, sets, percent))
+    # A centre is more central than what points to it, so pointers run without a circle. One step
+    # along them is label enough for leaving out pairs inside a star.
+    onward = edges.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    labels = edges.join(onward, "b", "left").select(
+        F.col("a").alias("node"), F.coalesce("c", "b").alias("label")
+    )
     for least in ROUNDS:
-        pairs = between_groups(posted, components(edges), sets, least, percent)
+        pairs = between_groups(posted, labels, sets, least, percent)
         edges = edges.union(freeze(confirmed(pairs, sets, percent)))
-    return edges
+        labels = components(edges)
+    return posted.select("ck", "node").join(labels, "node").select("ck", "label")
 
 
 def between_groups(
     posted: DataFrame, labels: DataFrame, sets: DataFrame, least: int, percent: int
 ) -> DataFrame:
     """Pairs (a, b) of different groups that share a list, agree enough and have sizes that fit."""
-    grouped = posted.join(labels.withColumnRenamed("node", "ck"), "ck", "left").select(
-        "ck", F.coalesce("label", "ck").alias("label"), "prefix"
+    grouped = posted.join(labels, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"), "prefix"
     )
-    listed = grouped.select("ck", "label", "prefix", F.posexplode("prefix").alias("i", "value"))
+    listed = grouped.select("node", "label", "prefix", F.posexplode("prefix").alias("i", "value"))
     mixed = listed.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = mixed.filter("low != high").select("value")
     # What comes before in the prefix tells whether two classes have met in an earlier list.
-    sizes = sets.select("ck", "fine", (F.octet_length("hashes") / 8).cast("int").alias("n"))
+    longs = [F.get("fine", F.lit(i)).alias(f"fine{i}") for i in range(FINE // 64)]
+    sizes = sets.select("node", (F.octet_length("hashes") / 8).cast("int").alias("n"), *longs)
     rows = (
         listed.join(mixed, "value", "left_semi")
-        .select("value", "ck", "label", F.slice("prefix", F.lit(1), F.col("i")).alias("earlier"))
-        .join(sizes, "ck")
+        .select("value", "node", "label", F.slice("prefix", F.lit(1), F.col("i")).alias("earlier"))
+        .join(sizes, "node")
     )
     a, b = (
         rows.select("value", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "value"])
@@ -339,11 +343,11 @@ def between_groups(
         (F.col("a_label") < F.col("b_label"))
         & (100 * F.col("a_n") >= percent * F.col("b_n"))
         & (100 * F.col("b_n") >= percent * F.col("a_n"))
-        & (agreements(F.col("a_fine"), F.col("b_fine")) >= least)
+        & (agreements("a_fine", "b_fine") >= least)
         & ~F.arrays_overlap("a_earlier", "b_earlier")
     )
     met = a.alias("x").join(b.alias("y"), (F.col("x.value") == F.col("y.value")) & fits)
-    return met.select(F.col("a_ck").alias("a"), F.col("b_ck").alias("b"))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
