@@ -320,17 +320,29 @@ def test_finer_signatures(spark):
     base = draw.integers(0, 2**63, 2000, dtype=np.uint64)
     other = base.copy()
     other[:250] = draw.integers(0, 2**63, 250, dtype=np.uint64)
-    found = near_dups.coordinate_minima([base, other, base], near_dups.FINE, 23)
+    found = near_dups.coordinate_minima([base, other, base], 512, 11)
     assert (found[0] == found[2]).all()
-    same = np.mean(found[0] == found[1])
-    assert abs(same - 1750 / 2250) < 0.08
-    longs = np.packbits((found & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+    assert abs(np.mean(found[0] == found[1]) - 1750 / 2250) < 0.08
+    bits = near_dups.fine_bits([base, other], near_dups.FINE)
     names = [f"{side}{i}" for side in "ab" for i in range(near_dups.FINE // 64)]
-    row = [int(x) for x in (*longs[0], *longs[1])]
+    row = [int(x) for x in bits.view(np.int64).reshape(-1)]
     df = spark.createDataFrame([row], ", ".join(f"{n} long" for n in names))
     agree = df.select(near_dups.agreements("a", "b")).first()[0]
-    assert agree == int(((found[0] ^ found[1]) & np.uint64(1) == 0).sum())
-    assert abs(agree / near_dups.FINE - (1 + 1750 / 2250) / 2) < 0.06
+    assert agree == int((np.unpackbits(bits[0]) == np.unpackbits(bits[1])).sum())
+    assert abs(agree / near_dups.FINE - (1 + 1750 / 2250) / 2) < 0.03
+
+
+def test_finer_signatures_over_many_pairs():
+    """At a similarity of 0.75 the thresholds lie where their docstring says."""
+    draw = np.random.default_rng(7)
+    agree = []
+    for _ in range(60):
+        base = draw.integers(0, 2**63, 700, dtype=np.uint64)
+        other = np.concatenate([base[100:], draw.integers(0, 2**63, 100, dtype=np.uint64)])
+        a, b = near_dups.fine_bits([np.sort(base), np.sort(other)], near_dups.FINE)
+        agree.append(int((np.unpackbits(a) == np.unpackbits(b)).sum()))
+    assert abs(np.mean(agree) - 1792) < 8 and 10 < np.std(agree) < 21
+    assert min(agree) >= near_dups.ROUNDS[1]
 
 
 # Top-k
