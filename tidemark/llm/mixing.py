@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import count_words, text_or_empty, unpack_row, whole_row
+from tidemark.llm.common import count_words, text_or_empty, unpack_row
 from tidemark.session import freeze
 
 #: Weights of the sources in code point order, repeated.
@@ -42,16 +42,15 @@ def sized(
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """``row`` (the carried columns), ``source``, ``size`` in words, and ``key``, a hash of id and text."""
-    carried = whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else None
+    row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
     name = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))
-    columns = [
-        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row") if carried is not None else None,
+    return docs.select(
+        *row,
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.col(f"`{source}`").cast("string").alias("source"),
         count_words(text_or_empty(text)).alias("size"),
         F.md5(F.concat(name, F.lit("|"), text_or_empty(text)).cast("binary")).alias("key"),
-    ]
-    return docs.select(*[c for c in columns if c is not None])
+    )
 
 
 def area(knots: Sequence[tuple[float, float]]) -> float:

@@ -124,7 +124,7 @@ def annuli(classes: DataFrame) -> DataFrame:
             ids = [h[4] for h in held]
             row = [
                 base + count, length, pivot, held[0][2], held[-1][2], norm, len(held),
-                x.astype("<i8").tobytes(),
+                _short(x),
                 np.array([h[5:7] for h in held], "<i8").tobytes(),
                 np.array([len(i) for i in ids], "<i4").tobytes(),
                 np.array([i for some in ids for i in some], "<i8").tobytes(),
@@ -173,7 +173,7 @@ def query_blocks(queries: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame
             least = np.array([h[5] for h in held])
             row = [
                 base + count, length, float((x.astype(np.float64) ** 2).sum(1).max()),
-                float(least.min()), x.astype("<i8").tobytes(),
+                float(least.min()), _short(x),
                 np.array([[h[3], h[4]] for h in held], "<i8").tobytes(),
                 least.astype("<f8").tobytes(), d.min(0).tolist(), d.max(0).tolist(), own.tolist(),
             ]
@@ -238,8 +238,7 @@ def _compare(row: tuple, k: int) -> pa.RecordBatch:
     least = np.frombuffer(least, "<f8")
     counts = np.frombuffer(counts, "<i4")
     ids = np.frombuffer(ids, "<i8")
-    q = np.frombuffer(q, "<i8").reshape(len(names), length)
-    x = np.frombuffer(x, "<i8").reshape(len(counts), length)
+    q, x = _long(q, len(names), length), _long(x, len(counts), length)
     scores = _products(q, x)
     place = np.repeat(np.arange(len(counts)), counts)
     out = []
@@ -262,6 +261,18 @@ def _compare(row: tuple, k: int) -> pa.RecordBatch:
     )
 
 
+def _short(x: np.ndarray) -> bytes:
+    """Integers in the smallest of 2, 4 and 8 bytes that holds them all."""
+    low, high = int(x.min(initial=0)), int(x.max(initial=0))
+    size = next(s for s in (2, 4, 8) if -(2 ** (8 * s - 1)) <= low and high < 2 ** (8 * s - 1))
+    return x.astype(f"<i{size}").tobytes()
+
+
+def _long(data: bytes, rows: int, length: int) -> np.ndarray:
+    size = len(data) // (rows * length) if rows * length else 8
+    return np.frombuffer(data, f"<i{size}").reshape(rows, length).astype(np.int64)
+
+
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer inner products: in doubles while they hold every sum exactly."""
     most = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, q.shape[1])
