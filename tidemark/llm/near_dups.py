@@ -239,14 +239,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label: the least node of its component, for every node of an edge."""
-    both = freeze(
-        edges.filter("a != b").select("a", "b").union(edges.filter("a != b").select("b", "a")).distinct()
-    )
-    labels = freeze(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("label")))
+    """node, label: the least node of its component, for every node of an edge (a, b)."""
+    there = edges.filter("a != b").select(F.col("a").alias("node"), F.col("b").alias("other"))
+    back = there.select(F.col("other").alias("node"), F.col("node").alias("other"))
+    both = freeze(there.union(back).distinct())
+    labels = freeze(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(
-            F.min("label").alias("near")
+        near = (
+            both.join(labels.withColumnRenamed("node", "other"), "other")
+            .groupBy("node")
+            .agg(F.min("label").alias("near"))
         )
         lower = labels.join(near, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
@@ -262,6 +264,23 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels after adding edges: only edges between different labels need a closer look."""
+    first = labels.select(F.col("node").alias("a"), F.col("label").alias("from"))
+    second = labels.select(F.col("node").alias("b"), F.col("label").alias("to"))
+    mapped = edges.join(first, "a", "left").join(second, "b", "left").select(
+        "a", "b", F.coalesce("from", "a").alias("from"), F.coalesce("to", "b").alias("to")
+    )
+    mapped = freeze(mapped)
+    crossing = mapped.filter(F.col("from") != F.col("to"))
+    groups = components(crossing.select(F.col("from").alias("a"), F.col("to").alias("b")).distinct())
+    known = labels.union(mapped.select("a", "from")).union(mapped.select("b", "to")).distinct()
+    groups = groups.select(F.col("node").alias("label"), F.col("label").alias("group"))
+    return freeze(
+        known.join(groups, "label", "left").select("node", F.coalesce("group", "label").alias("label"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
     coordinates: int = COORDINATES, agree: int = AGREE, percent: int = PERCENT,
@@ -329,13 +348,17 @@ def class_labels(
     # A centre is more central than what points to it, so pointers run without a circle. One step
     # along them is label enough for leaving out pairs inside a star.
     onward = edges.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    labels = edges.join(onward, "b", "left").select(
-        F.col("a").alias("node"), F.coalesce("c", "b").alias("label")
+    labels = freeze(
+        edges.join(onward, "b", "left").select(
+            F.col("a").alias("node"), F.coalesce("c", "b").alias("label")
+        )
     )
+    fresh = edges
     for least in ROUNDS:
         pairs = between_groups(posted, labels, sets, least, percent)
-        edges = edges.union(freeze(confirmed(pairs, sets, percent)))
-        labels = components(edges)
+        found = freeze(confirmed(pairs, sets, percent))
+        labels = merged(labels, found if fresh is None else fresh.union(found))
+        fresh = None  # the labels know these links from now on
     return posted.select("ck", "node").join(labels, "node").select("ck", "label")
 
 
