@@ -239,29 +239,40 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label: the least node of its component, for every node of an edge (a, b)."""
-    there = edges.filter("a != b").select(F.col("a").alias("node"), F.col("b").alias("other"))
-    back = there.select(F.col("other").alias("node"), F.col("node").alias("other"))
-    both = freeze(there.union(back).distinct())
-    labels = freeze(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
+    """node, label: one label for all nodes of a component, for every node of an edge (a, b).
+
+    In each round a node points to its neighbour of least rank, if that is below its own; ranks are
+    drawn anew, so chains of pointers are short. Pointers jump once, and edges are contracted to
+    the nodes pointed to: what two ends share is gone, and the rest shrinks round by round.
+    """
+    labels, turn = None, 0
     while True:
-        near = (
-            both.join(labels.withColumnRenamed("node", "other"), "other")
-            .groupBy("node")
-            .agg(F.min("label").alias("near"))
-        )
-        lower = labels.join(near, "node").select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        there = edges.filter("a != b").select(F.col("a").alias("node"), F.col("b").alias("other"))
+        back = there.select(F.col("other").alias("node"), F.col("node").alias("other"))
+        both = freeze(there.union(back).distinct())
+        if both.isEmpty():
+            return both.select("node", F.col("other").alias("label")) if labels is None else labels
+        rank = lambda c: F.xxhash64(F.lit(turn), c)  # noqa: B023, E731
+        step = both.groupBy("node").agg(F.min_by("other", rank("other")).alias("near"))
+        lower = (rank("near") < rank("node")) | (
+            (rank("near") == rank("node")) & (F.col("near") < F.col("node"))
         )
-        jump = lower.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        stepped = freeze(
-            lower.join(jump, "label", "left").select(
-                "node", "old", F.least("label", F.coalesce("far", "label")).alias("label")
+        step = freeze(step.select("node", F.when(lower, F.col("near")).otherwise(F.col("node")).alias("near")))
+        onward = step.select(F.col("node").alias("near"), F.col("near").alias("far"))
+        step = freeze(step.join(onward, "near").select("node", F.col("far").alias("label")))
+        if labels is None:
+            labels = step
+        else:
+            later = step.select(F.col("node").alias("label"), F.col("label").alias("new"))
+            labels = freeze(
+                labels.join(later, "label", "left").select(
+                    "node", F.coalesce("new", "label").alias("label")
+                )
             )
-        )
-        labels = stepped.select("node", "label")
-        if stepped.filter("label != old").isEmpty():
-            return labels
+        first = step.select("node", F.col("label").alias("a"))
+        second = step.select(F.col("node").alias("other"), F.col("label").alias("b"))
+        once = both.filter("node < other").join(first, "node").join(second, "other")
+        edges, turn = once.select("a", "b").filter("a != b").distinct(), turn + 1
 
 
 def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
