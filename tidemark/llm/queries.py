@@ -71,8 +71,7 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     token_files.write_token_files(
         table(spark, folder, "documents"), out, tokenizer("word_bpe_49k.json"), "drop", end_id=2
     )
-    found = token_files.read_token_files(spark, out)
-    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_files.read_token_files(spark, out, with_ids=False).drop("ids")
 
 
 def op7_near_dups(spark: SparkSession, folder: str) -> DataFrame:

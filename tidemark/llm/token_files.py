@@ -20,6 +20,7 @@ only one segment is held in memory.
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,30 @@ def _width(values: np.ndarray) -> np.ndarray:
     return np.where(values == 0, 0, np.frexp(values.astype(np.float64))[1]).astype(np.int64)
 
 
+def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """Blocks of values below 2**width as bytes: eight values fill ``width`` bytes."""
+    groups = values.astype(np.uint64).reshape(len(values), BLOCK // 8, 8)
+    out = np.zeros((len(values), BLOCK // 8, width), np.uint8)
+    for k in range(8):
+        first, shift = divmod(k * width, 8)
+        moved = groups[:, :, k] << np.uint64(shift)
+        for i in range((shift + width + 7) // 8):
+            out[:, :, first + i] |= (moved >> np.uint64(8 * i)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
+def _unpack_bits(raw: np.ndarray, width: int) -> np.ndarray:
+    groups = raw.reshape(len(raw), BLOCK // 8, width)
+    out = np.empty((len(raw), BLOCK // 8, 8), np.uint64)
+    for k in range(8):
+        first, shift = divmod(k * width, 8)
+        whole = groups[:, :, first].astype(np.uint64)
+        for i in range(1, (shift + width + 7) // 8):
+            whole |= groups[:, :, first + i].astype(np.uint64) << np.uint64(8 * i)
+        out[:, :, k] = (whole >> np.uint64(shift)) & np.uint64(2**width - 1)
+    return out.reshape(len(raw), BLOCK).astype(np.int64)
+
+
 def pack(values: np.ndarray, percentile: float = 0.9) -> bytes:
     """One column of non-negative numbers below 2**52 as patched blocks."""
     values = np.asarray(values, dtype=np.int64)
@@ -60,8 +85,9 @@ def pack(values: np.ndarray, percentile: float = 0.9) -> bytes:
     packed = [b""] * blocks
     for w in np.unique(width).tolist():
         same = np.flatnonzero(width == w)
-        bits = (rest[same][:, :, None] >> np.arange(w)) & 1
-        raw = np.packbits(bits.reshape(len(same), BLOCK * w).astype(np.uint8), axis=1, bitorder="little")
+        if w == 0:
+            continue
+        raw = _pack_bits(rest[same] & (2**w - 1), w)
         for i, b in zip(same.tolist(), raw):
             packed[i] = b.tobytes()
     starts = np.concatenate([[0], np.cumsum(width * (BLOCK // 8))]).astype("<u4")
@@ -101,8 +127,7 @@ def unpack(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
         same = np.flatnonzero(width == w)
         span = np.arange(BLOCK * w // 8)
         raw = packed[starts[same].astype(np.int64)[:, None] + span]
-        bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(same), BLOCK, w)
-        rest[same] = bits @ (np.int64(1) << np.arange(w, dtype=np.int64))
+        rest[same] = _unpack_bits(raw, w)
     total = int(odd.sum())
     place, high = take("<u1", total), take("<u8", total)
     block = np.repeat(np.arange(blocks), odd)
@@ -186,8 +211,10 @@ def write_token_files(
     ordered.select("doc_id", "body").mapInArrow(task, FILE_SCHEMA).write.parquet(out)
 
 
-def read_token_files(spark, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens, ids (little-endian, 32 bits).
+def read_token_files(spark, path: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start (ids of all documents before), n_tokens, ids_crc32, ids.
+
+    Ids are little-endian numbers of 32 bits; they can be left out.
 
     Shards are few (one per task that wrote), so their first ids are broadcast; segments know their
     place in the shard.
@@ -206,18 +233,20 @@ def read_token_files(spark, path: str) -> DataFrame:
                 doc_ids, counts, stream = decode_segment(payload)
                 ends = np.cumsum(counts)
                 raw = stream.astype("<u4").tobytes()
-                cuts = zip((ends - counts).tolist(), ends.tolist())
+                cuts = list(zip((4 * (ends - counts)).tolist(), (4 * ends).tolist()))
+                each = [raw[a:b] for a, b in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(doc_ids, pa.int64()),
                         pa.array(first + ends - counts, pa.int64()),
                         pa.array(counts, pa.int64()),
-                        pa.array([raw[4 * a : 4 * b] for a, b in cuts], pa.binary()),
+                        pa.array([zlib.crc32(x) for x in each], pa.int64()),
+                        pa.array(each if with_ids else [None] * len(each), pa.binary()),
                     ],
-                    ["doc_id", "start", "n_tokens", "ids"],
+                    ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def token_file_folder(spark) -> str:
