@@ -411,6 +411,34 @@ def test_licenses(spark, empty):
     assert licenses.find_licenses(empty).count() == 0
 
 
+def test_many_short_notices_in_one_block(spark):
+    draw = random.Random(5)
+    short = [(name, t) for name, t in licenses.TEMPLATES if len(t.split()) < 20][:12]
+    rows, want = [], set()
+    for doc, repeats in ((1, 1), (2, 2), (3, 8)):  # the last one is longer than a block
+        text, at = [], 0
+        for name, notice in short * repeats:
+            text += [prose(draw, 45), notice]
+            at += 45 + len(notice.split())
+            want.add((doc, name, at - len(notice.split()), at, 0))
+        rows.append((doc, " ".join(text)))
+    found = licenses.find_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"], r["first_word"], r["end_word"], r["differences"]) for r in found} == want
+    assert len(found) == len(want) == 12 * 11
+
+
+def test_stretches_are_those_of_the_whole_block():
+    draw = random.Random(6)
+    for _ in range(200):
+        template = [draw.choice("abcdef") for _ in range(draw.randint(1, 12))]
+        block = [draw.choice("abcdefgh") for _ in range(40)]
+        for share in (0.1, 0.3):
+            most = int(share * len(template))
+            ends = licenses._ends(template, block, 0, len(block), most)
+            parts = licenses.promising(template, block, most)
+            assert ends == [x for low, high in parts for x in licenses._ends(template, block, low, high, most)]
+
+
 # Personal data
 
 

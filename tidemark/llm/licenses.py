@@ -2,9 +2,10 @@
 
 Words that license texts turn on (anchors) mark candidate blocks: the words around them, joined
 where they overlap. A block is compressed alone, and once with each template as a raw zstandard
-dictionary; templates are ranked by how much smaller that makes it. The ranked ones are confirmed by
-wording: the template is aligned with the best stretch of the block, word by word, and accepted if
-at most a tenth of its words differ. Of overlapping accepted stretches the one with the smallest share of
+dictionary; templates are ranked by how much smaller that makes it. The rank excludes none, as a
+short notice saves next to nothing of a long block. Every template is confirmed by
+wording: it is aligned with the best stretches of the block, word by word, and accepted if
+at most a tenth of its words differ. Only places that hold enough of its words are aligned. Of overlapping accepted stretches the one with the smallest share of
 different words stays, then the longer, then the better ranked.
 
 Only texts that hold an anchor reach Python; the search for anchors is a built-in expression over
@@ -70,8 +71,8 @@ TEMPLATES = (
 )
 ANCHORS = "licen[sc]e|permission is hereby|redistribut|sublicens|warrant|public domain|creative commons"
 AROUND, LONGEST_BLOCK = 16, 2000
-#: Share of a template's words that may differ, and the least share of bytes saved.
-DIFFERENCES, REDUCTION = 0.1, 0.02
+#: Share of a template's words that may differ.
+DIFFERENCES = 0.1
 
 
 def plain_words(text: str) -> list[str]:
@@ -126,12 +127,12 @@ class Scanner:
                     break
 
     def ranked(self, words: list[str]) -> list[tuple[float, int]]:
-        """(share of bytes saved, template), best first."""
+        """(share of bytes saved, template) of all templates, best first."""
         block = " ".join(words).encode("utf-8", "surrogatepass")
         size = len(self.alone.compress(block))
         saved = [1 - len(c.compress(block)) / size for c in self.with_template]
         order = sorted(range(len(saved)), key=lambda i: (-saved[i], i))
-        return [(saved[i], i) for i in order if saved[i] >= REDUCTION]
+        return [(saved[i], i) for i in order]
 
     def scan(self, text: str) -> list[tuple[str, int, int, float, int, str]]:
         """name, first word, end word, share saved, differences, wording of each license found."""
@@ -158,18 +159,49 @@ def stretches(template: list[str], block: list[str], share: float) -> list[tuple
 
     The best stretch of each group of overlapping ones, by the semi-global edit distance.
     """
-    m, n = len(template), len(block)
+    m = len(template)
     most = int(share * m)
     there = {*block}
     if sum(w not in there for w in template) > most:  # each such word is a difference
         return []
-    same = {w: np.array([w == t for t in template]) for w in there}
-    cost, start = np.arange(m + 1), np.zeros(m + 1, dtype=np.int64)
+    ends = [x for low, high in promising(template, block, most) for x in _ends(template, block, low, high, most)]
+    kept: list[tuple[int, int, int]] = []
+    for edits, a, b in sorted(ends, key=lambda x: (x[0], x[1] - x[2], x[1])):
+        if all(b <= s or e <= a for s, e, _ in kept):
+            kept.append((a, b, edits))
+    return kept
+
+
+def promising(template: list[str], block: list[str], most: int) -> list[tuple[int, int]]:
+    """Parts of the block (first word, end) that hold every stretch with at most ``most`` edits.
+
+    Such a stretch has up to ``most`` words more than the template, and all but ``most`` of its words.
+    """
+    m, known = len(template), {*template}
+    before = np.cumsum([0] + [w in known for w in block])
+    ends = np.arange(1, len(block) + 1)
+    lows = np.maximum(0, ends - m - most)
+    spans: list[tuple[int, int]] = []
+    for j in ends[before[ends] - before[lows] >= m - most].tolist():
+        low = max(0, j - m - most)
+        if spans and low <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], j)
+        else:
+            spans.append((low, j))
+    return spans
+
+
+def _ends(
+    template: list[str], block: list[str], low: int, high: int, most: int
+) -> list[tuple[int, int, int]]:
+    """(edits, start, end) of the best stretch at every end between low and high that has one."""
+    m = len(template)
+    same = {w: [w == t for t in template] for w in {*block[low:high]}}
+    cost, start = list(range(m + 1)), [low] * (m + 1)
     ends = []
-    for j in range(1, n + 1):
+    for j in range(low + 1, high + 1):
         old_cost, old_start = cost, start
-        cost, start = np.empty_like(cost), np.empty_like(start)
-        cost[0], start[0] = 0, j
+        cost, start = [0] * (m + 1), [j] * (m + 1)
         hit = same[block[j - 1]]
         for i in range(1, m + 1):
             options = (
@@ -180,12 +212,8 @@ def stretches(template: list[str], block: list[str], share: float) -> list[tuple
             best = min(options)
             cost[i], start[i] = best[0], -best[1]
         if cost[m] <= most:
-            ends.append((int(cost[m]), int(start[m]), j))
-    kept: list[tuple[int, int, int]] = []
-    for edits, a, b in sorted(ends, key=lambda x: (x[0], x[1] - x[2], x[1])):
-        if all(b <= s or e <= a for s, e, _ in kept):
-            kept.append((a, b, edits))
-    return kept
+            ends.append((cost[m], start[m], j))
+    return ends
 
 
 def wording_of(template: list[str], found: list[str]) -> str:
