@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import lines, mixing, near_dups, packing, quality
 from tidemark.llm.queries import table, tokenizer
-from tidemark.session import freeze
+from tidemark.session import freeze, in_written_order
 
 #: Mixing and tokenization have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -42,9 +42,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all training sequences."""
+    """The pieces of all training sequences, which follow the training order of ``source_mix``."""
     path = tokenizer("byte_bpe_50k.json")
-    pieces = packing.pack(docs, path, "lead", end_id=1, with_ids=False)
+    pieces = packing.pack(in_written_order(docs), path, "lead", end_id=1, with_ids=False)
     return pieces.drop("ids", "continues")
 
 

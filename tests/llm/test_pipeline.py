@@ -11,7 +11,7 @@ import corpus_pipeline
 from tests.llm import brute
 from tests.llm.test_operators import awkward_rows, encoder
 from tidemark.llm import mixing, quality
-from tidemark.session import freeze
+from tidemark.session import freeze, in_written_order, setting
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -100,6 +100,26 @@ def test_packed(stages):
     assert len(place) == -(-want // 2048)
 
 
+def test_packed_follows_the_curriculum(spark):
+    # Texts of different lengths by source, and a range partition per file: the files differ in size.
+    rows = [(i, f"w{i} " * (5 if i % 4 else 40 + i), "en", f"s{i % 4}", 0) for i in range(400)]
+    docs = freeze(spark.createDataFrame(rows, COLUMNS))
+    sized = mixing.sized(docs, "doc_id", "source", "text", carry=docs.columns)
+    plan = mixing.curriculum(sized, stats=mixing.sized(docs, "doc_id", "source", "text"))
+    want = sorted(
+        (position, r["key"], r["row"]["doc_id"])
+        for r in plan.filter("copies > 0").collect() for position in r["positions"]
+    )
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        mixed = freeze(corpus_pipeline.source_mix(spark, docs, ""))
+        pieces = corpus_pipeline.packed(spark, mixed, "").collect()
+        order = [r["doc_id"] for r in in_written_order(mixed).collect()]
+    assert len(mixed.inputFiles()) > 2
+    starts = sorted((p["sequence_id"], p["offset"], p["doc_id"]) for p in pieces if p["start"] == 0)
+    assert [doc for _, _, doc in starts] == [doc for _, _, doc in want] == order
+    assert len({doc for _, _, doc in want}) > 100
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 def test_run(spark):
     folder = "/root/testdata/sf0.001"

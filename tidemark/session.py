@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_ROWS = "spark.tidemark.blockRows"
@@ -110,3 +111,20 @@ def write_shared(df: DataFrame) -> str:
 def freeze(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends, columns still prune."""
     return df.sparkSession.read.schema(df.schema).parquet(write_shared(df))
+
+
+def in_written_order(df: DataFrame) -> DataFrame:
+    """A table that was just read, with its rows in the order in which Spark wrote them.
+
+    A scan takes files by size, so it loses the order. The names of the files hold the number of
+    the task, and of the file if a task wrote several; the place of a row in its file is known.
+    """
+    name, hidden = F.col("_metadata.file_name"), ["_part", "_piece", "_name", "_place"]
+    places = [
+        F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"),
+        F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("long"),
+        name,
+        F.col("_metadata.row_index"),
+    ]
+    placed = df.select("*", *[place.alias(h) for place, h in zip(places, hidden)])
+    return placed.repartitionByRange(*hidden).sortWithinPartitions(*hidden).drop(*hidden)
