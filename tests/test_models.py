@@ -552,3 +552,27 @@ def test_training_from_selected_file_saves_search(spark, bars, tmp_path):
     assert result.selected_features == ["Close_lag_1", "Volume"]
     saved = spark.read.json(str(tmp_path / "hyper/ridge/tuning_results.json"))
     assert saved.count() == 4 and saved.filter("is_best").count() == 2
+
+
+def test_shipped_competition_is_whole(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.queries import models
+
+    seen = []
+
+    def record(splits, label, assembler, candidates, selection, metric):
+        seen.extend(candidates)
+        return SimpleNamespace(leaderboard=spark.createDataFrame([("a", 1)], "candidate string, position int"))
+
+    monkeypatch.setattr(models, "run_competition", record)
+    monkeypatch.setattr(models, "_splits", lambda *_: None)
+    models.competition_shipped(spark, "")
+    boosting = next(c for c in seen if c.name == "gradient_boosting")
+    assert boosting.params == {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 6, "random_state": 42}
+    assert boosting.tuning.n_splits == 3 and boosting.tuning.gap == 1
+    sets = {tuple(p.values()) for p in parameter_sets(boosting.tuning)}
+    assert sets == set(itertools.product((0.05, 0.1), (2, 3), (100, 200, 300)))
+    assert [(c.name, c.extra_steps) for c in seen if c.tuning is None] == [
+        ("linear_regression", []), ("knn", ["standard_scaler"]),
+    ]

@@ -425,23 +425,41 @@ def competition(spark, folder):
     return tidy(rounded.select("candidate", "n", "rmse", "mae", "mape", "r2", "place"))
 
 
+SHIPPED_CANDIDATES = (
+    {"name": "linear_regression", "estimator": "linear_regression"},
+    {
+        "name": "gradient_boosting",
+        "estimator": "gradient_boosting",
+        "params": {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 6, "random_state": 42},
+        "tuning": {
+            "strategy": "grid",
+            "param_grid": {
+                "estimator__n_estimators": [100, 200, 300],
+                "estimator__learning_rate": [0.05, 0.1],
+                "estimator__max_depth": [2, 3],
+            },
+            "n_splits": 3,
+            "gap": 1,
+            "scoring": "neg_mean_absolute_percentage_error",
+        },
+    },
+    {
+        "name": "knn",
+        "estimator": "knn",
+        "params": {"n_neighbors": 5},
+        "extra_steps": [{"type": "standard_scaler", "name": "knn_standard_scaler"}],
+    },
+)
+
+
 @query("competition_shipped")
 def competition_shipped(spark, folder):
-    """Correlation drop, elimination, and the shipped kinds of candidates."""
-    candidates = [
-        Candidate("linear_regression", "linear_regression"),
-        Candidate(
-            "gradient_boosting",
-            "gradient_boosting",
-            {"n_estimators": 5, "learning_rate": 0.05, "max_depth": 3, "random_state": 42},
-        ),
-        Candidate("knn", "knn", {"n_neighbors": 5}, ["standard_scaler"]),
-    ]
+    """Correlation drop, elimination, and the shipped candidates with their parameters and grid."""
     outcome = run_competition(
         _splits(spark, folder),
         LABEL,
         FeatureAssembler(target_column=T, **SHIPPED),
-        candidates,
+        [Candidate.from_mapping(c) for c in SHIPPED_CANDIDATES],
         SELECTION,
         "mape",
     )
