@@ -4,7 +4,7 @@ A document's set is its distinct five-word shingles. A signature has 64 coordina
 value of one hash over the set. Documents are posted under every (coordinate, value) pair they have;
 documents with a similarity of 0.75 agree in 48 of 64 coordinates on average, and pairs that agree
 in 32 or more are the ones to look at. That threshold loses a pair at exactly 0.75 with a
-probability of about 3e-6, less for more alike pairs.
+probability of 4.6e-6, less for more alike pairs. Collisions are not counted pair by pair.
 
 *Prefix.* Only shared values count. A document with fewer than 32 shared values has no partner; of
 the others only the rarest m - 31 of its m shared values are posted for joining, since two
