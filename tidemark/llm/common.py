@@ -56,11 +56,18 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def worker_store() -> dict:
-    """A dictionary that lives as long as the Python worker, over all its tasks."""
-    name = "_tidemark_worker_store"
-    module = sys.modules.get(name)
+def worker_memory(name, make):
+    """What ``make`` returns, kept in the Python worker over all its tasks that ask for ``name``.
+
+    A worker keeps one such memory: asking for another one drops what was there.
+    """
+    place = "_tidemark_worker_memory"
+    module = sys.modules.get(place)
     if module is None:
-        module = sys.modules[name] = types.ModuleType(name)
-        module.store = {}
-    return module.store
+        module = sys.modules[place] = types.ModuleType(place)
+        module.name = module.held = None
+    if module.name != name:
+        module.name = module.held = None
+        module.held = make()
+        module.name = name
+    return module.held

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty, worker_store
+from tidemark.llm.common import text_or_empty, worker_memory
 
 #: Short notices and the opening passages of common licenses.
 TEMPLATES = (
@@ -239,10 +239,7 @@ def find_licenses(
     templates = tuple(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = worker_store()
-        if ("licenses", templates) not in store:
-            store["licenses", templates] = Scanner(templates)
-        scanner = store["licenses", templates]
+        scanner = worker_memory(("licenses", templates), lambda: Scanner(templates))
         for batch in batches:
             found = [
                 (doc, *license_)

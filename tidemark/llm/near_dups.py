@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty, unpack_row, whole_row, worker_store
+from tidemark.llm.common import partitions, text_or_empty, unpack_row, whole_row, worker_memory
 from tidemark.session import freeze
 
 WORDS = 5
@@ -158,7 +158,7 @@ def signatures(
     """doc_id, ck (names the sequence of words), n_shingles, sig (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_store().setdefault("word hashes", _Hashes())
+        known = worker_memory("word hashes", _Hashes)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
@@ -180,20 +180,17 @@ def signatures(
     return rows.mapInArrow(run, _SCHEMA)
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> DataFrame:
-    """node, ``hashes`` (sorted, 8 bytes each) and ``fine`` for each class (ck, node) in ``wanted``.
+def shingle_sets(
+    docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, words: int
+) -> DataFrame:
+    """node, ``hashes`` (sorted, 8 bytes each) and ``fine`` for each row (r1, r2, node) in ``wanted``.
 
-    ``fine`` holds one bit of each of 2,048 coordinates, 64 coordinates to a long.
+    ``fine`` holds one bit of each of 2,048 coordinates, 64 coordinates to a long. Only the texts of
+    the named rows, one of each class, leave their partition's join; copies stay behind.
     """
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0)
-            keys = [_class_key(words_of(t)) for t in texts.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), texts], ["ck", "t"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_store().setdefault("word hashes", _Hashes())
+        known = worker_memory("word hashes", _Hashes)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
@@ -206,8 +203,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, words: int) -> D
                     [part.column(0), pa.array(raw, pa.binary()), fine], ["node", "hashes", "fine"]
                 )
 
-    texts = docs.select(text_or_empty(text).alias("t")).mapInArrow(name, "ck binary, t string")
-    once = texts.join(wanted, "ck").dropDuplicates(["ck"]).select("node", "t")
+    texts = docs.select(*_row_name(doc_id, text), text_or_empty(text).alias("t"))
+    once = texts.join(wanted, ["r1", "r2"]).dropDuplicates(["r1", "r2"]).select("node", "t")
     return once.mapInArrow(run, "node long, hashes binary, fine array<long>")
 
 
@@ -301,16 +298,20 @@ def near_duplicates(
     Beside them r1 and r2, the name of the row, and ``stays``: true for one row of each group.
     """
     rows = freeze(signatures(docs, doc_id, text, words, coordinates))
-    labels = class_labels(docs, rows, text, words, agree, percent)
-    labelled = rows.drop("sig").join(labels, "ck", "left")
+    labels = class_labels(docs, rows, doc_id, text, words, agree, percent)
+    labelled = joined_by_size(rows.drop("sig"), labels, "ck")
     alone = F.concat(F.lit(b"empty"), F.hex("r1").cast("binary"), F.hex("r2").cast("binary"))
     group = F.when(F.col("n_shingles") == 0, alone).otherwise(
         F.coalesce(F.hex("label").cast("binary"), "ck")
     )
     labelled = labelled.withColumn("group", group)
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "r1", "r2")
-    first = labelled.groupBy("group").agg(F.min(order).alias("first"))
-    named = labelled.join(first, "group").withColumn("component_id", F.col("first.doc_id"))
+    labelled = freeze(labelled)
+    first = labelled.groupBy("group").agg(
+        F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")
+    )
+    named = joined_by_size(labelled, freeze(first), "group")
+    named = named.withColumn("component_id", F.col("first.doc_id"))
     stays = (F.col("first.r1") == F.col("r1")) & (F.col("first.r2") == F.col("r2"))
     return named.select(
         "doc_id", "n_shingles", "component_id",
@@ -319,15 +320,34 @@ def near_duplicates(
     )
 
 
+def joined_by_size(many: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Left join with ``facts``, one row a key that also counts the key's ``rows`` in ``many``.
+
+    Keys with more rows than a quarter of an even share of a partition are broadcast: there are at
+    most four a partition. The rest is joined by a shuffle in which no key is large.
+    """
+    share = max(64, many.count() // (4 * partitions(many)))
+    large = F.broadcast(facts.filter(F.col("rows") > share).drop("rows"))
+    small = facts.filter(F.col("rows") <= share).drop("rows")
+    rest = many.join(large.select(key), key, "left_anti").join(small, key, "left")
+    return many.join(large, key).unionByName(rest)
+
+
 def class_labels(
-    docs: DataFrame, rows: DataFrame, text: str, words: int, agree: int, percent: int
+    docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: int, agree: int, percent: int
 ) -> DataFrame:
-    """ck, label: the same label for all classes of a group; classes without a partner are absent.
+    """ck, label, rows: one label for all classes of a group; classes without a partner are absent.
 
     Enough confirmed links are found to connect all that are alike.
     """
-    # Copies have the same signature, so any one stands for its class.
-    classes = freeze(rows.filter("n_shingles > 0").select("ck", "sig").dropDuplicates(["ck"]))
+    # Copies have the same signature, so any one stands for its class, by its row's name.
+    full = rows.filter("n_shingles > 0")
+    classes = freeze(
+        full.groupBy("ck").agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.first(c).alias(c) for c in ("r1", "r2", "sig")],
+        )
+    )
     postings = classes.select("ck", F.explode("sig").alias("value"))
     counts = postings.groupBy("value").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = postings.join(counts, "value").groupBy("ck").agg(
@@ -341,7 +361,8 @@ def class_labels(
             F.aggregate("shared", F.lit(0).cast("long"), lambda s, x: s + x["c"]).alias("score"),
         )
     )
-    sets = freeze(shingle_sets(docs, posted.select("ck", "node"), text, words))
+    wanted = posted.select("ck", "node").join(classes.select("ck", "r1", "r2"), "ck").drop("ck")
+    sets = freeze(shingle_sets(docs, wanted, doc_id, text, words))
 
     # Every class with the most central of the centres of its lists.
     listed = posted.select("node", "score", F.explode("prefix").alias("value"))
@@ -370,7 +391,8 @@ def class_labels(
         found = freeze(confirmed(pairs, sets, percent))
         labels = merged(labels, found if fresh is None else fresh.union(found))
         fresh = None  # the labels know these links from now on
-    return posted.select("ck", "node").join(labels, "node").select("ck", "label")
+    named = posted.select("ck", "node").join(labels, "node")
+    return freeze(named.join(classes, "ck").select("ck", "label", "rows"))
 
 
 def between_groups(

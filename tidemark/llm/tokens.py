@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.common import worker_store
+from tidemark.llm.common import worker_memory
 
 #: Words a worker remembers at most; beyond, new words are encoded again when they return.
 MEMORY = 1_000_000
@@ -37,11 +37,7 @@ class WordEncoder:
 
     @staticmethod
     def of_worker(path: str, spaces: str | None) -> WordEncoder:
-        store = worker_store()
-        key = ("encoder", path, spaces)
-        if key not in store:
-            store[key] = WordEncoder(path, spaces)
-        return store[key]
+        return worker_memory(("encoder", path, spaces), lambda: WordEncoder(path, spaces))
 
     def as_bytes(self, ids) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
