@@ -109,3 +109,59 @@ def top_k(rows, every=50, k=5):
             )
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
+
+
+def hard_negatives(rows, every=50, positives=5, negatives=3, low=50, high=95):
+    """(vec_id, label, vector) to the rows of hard_negatives, by all pairs."""
+    good = {
+        (i, l, tuple(int(np.floor(256 * float(x))) for x in v))
+        for i, l, v in rows
+        if i is not None and l is not None and v is not None
+        and all(x is not None and np.isfinite(x) for x in v)
+    }
+    out = []
+    for a in good:
+        if a[0] % every:
+            continue
+        scored = sorted(
+            (-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(a[2], c[2])))), c[0], c[1])
+            for c in good
+            if c != a and len(c[2]) == len(a[2])
+        )
+        for s, p, _ in [x for x in scored if x[2] == a[1]][:positives]:
+            fits = [x for x in scored if x[2] != a[1] and low * -s <= 100 * -x[0] <= high * -s]
+            out += [(a[0], p, r + 1, n, -s, -t) for r, (t, n, _) in enumerate(fits[:negatives])]
+    return sorted(out)
+
+
+def runs(words, least_length=6, least_power=4):
+    """(start, length, period) of all runs, by comparing places one period apart."""
+    n, out = len(words), []
+    for q in range(1, n // least_power + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            if i > start and length >= max(least_length, least_power * q):
+                part = words[start : start + length]
+                if all(part[d:] != part[:-d] for d in range(1, q)):
+                    out.append((start, length, q))
+            i += 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted_periods(doc_id, found):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(found)
+    if doc_id is None or h % 10 or not n:
+        return found
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [found[i] if i < a else found[a + (i - a) % p] for i in range(n)]

@@ -70,6 +70,33 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, a.label AS a_label, a.v AS a_v, c.vec_id, c.label, c.v,
+    list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND len(a.v) = len(c.v)
+    AND NOT (a.vec_id = c.vec_id AND a.label = c.label AND a.v = c.v)),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, a_label, a_v ORDER BY score DESC, vec_id) AS place
+  FROM p WHERE label = a_label),
+n AS (
+  SELECT r.anchor_id, r.a_label, r.a_v, r.place, r.vec_id AS positive_id, r.score AS positive_score,
+    p.vec_id AS negative_id, p.score AS negative_score,
+    row_number() OVER (PARTITION BY r.anchor_id, r.a_label, r.a_v, r.place
+      ORDER BY p.score DESC, p.vec_id) AS rank
+  FROM r JOIN p ON r.anchor_id = p.anchor_id AND r.a_label = p.a_label AND r.a_v = p.a_v
+    AND p.label <> r.a_label AND 50 * r.score <= 100 * p.score AND 100 * p.score <= 95 * r.score
+  WHERE r.place <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3
+"""
+
 
 def _rule(rule: Rule) -> str:
     """The rule as a condition over the counts."""
@@ -172,4 +199,5 @@ ORACLES = {
     "op5_quality": QUALITY,
     "op7_near_dups": NEAR_DUPS,
     "op10_chat": CHAT,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat,
+    hard_negatives,
     licenses,
     lines,
     mixing,
@@ -16,9 +17,11 @@ from tidemark.llm import (
     packing,
     pii,
     quality,
+    runs,
     token_files,
     top_k,
 )
+from tidemark.llm.common import split_words, text_or_empty
 from tidemark.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -111,6 +114,52 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", other))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The documents as the query wants them: in a tenth of them the end of the text repeats.
+
+    With h the check sum of the id and g = h / 10, where h % 10 = 0 the words from place a = g % n on
+    are replaced by the first p of them, over and over; p = 1 + (n - a) / (3 + g % 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = docs.withColumn("h", F.coalesce(h, F.lit(1)))
+    words = split_words(F.when(F.col("h") % 10 == 0, text_or_empty()))
+    planted = planted.withColumn("words", words).withColumn("n", F.size("words"))
+    planted = planted.withColumn("g", F.floor(F.col("h") / 10))
+    planted = planted.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    planted = planted.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.flatten(F.array_repeat(period, F.ceil(rest / F.col("p")).cast("int")))
+    body = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    changed = F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), body)
+    return planted.select(
+        *[F.coalesce(changed, "text").alias(c) if c == "text" else c for c in docs.columns]
+    )
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = runs.find_runs(with_planted_periods(docs))
+    best = runs.strongest(F.col("runs"))
+    one = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    found = found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(F.transform("runs", one), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    times = F.expr("1000 * best.length div best.period")
+    return found.select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        times.alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -122,4 +171,6 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_private": op9_private,
     "op10_chat": op10_chat,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_runs": op13_runs,
 }
