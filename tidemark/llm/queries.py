@@ -18,6 +18,7 @@ from tidemark.llm import (
     pii,
     quality,
     runs,
+    secrets,
     token_files,
     top_k,
 )
@@ -114,6 +115,18 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in secrets.KINDS[:3]
+    ]
+    return found.select(
+        "row.doc_id", *counts, F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -171,6 +184,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_private": op9_private,
     "op10_chat": op10_chat,
+    "op11_secrets": op11_secrets,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_runs": op13_runs,
 }
