@@ -8,27 +8,23 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.ml.knn import NearestNeighbours
 from tidemark.ml.stages import VECTOR
+from tidemark.ml.trees import BinnedTrees
 
-# Deepest tree Spark grows; the usual default is unlimited.
+# Deepest tree that is grown; the usual default is unlimited.
 _DEEPEST = 30
 
 _TREE_PARAMS = {
-    "max_depth": "maxDepth",
-    "min_samples_leaf": "minInstancesPerNode",
+    "max_depth": "depth",
+    "min_samples_leaf": "least_rows",
     "random_state": "seed",
-    "max_bins": "maxBins",
+    "max_bins": "max_bins",
 }
 _LINEAR_PARAMS = {"max_iter": "maxIter", "tol": "tol", "fit_intercept": "fitIntercept"}
 
@@ -96,36 +92,29 @@ def _ridge(label: str, params: dict) -> Estimator:
 
 
 def _forest(label: str, params: dict) -> Estimator:
-    return _build(
-        RandomForestRegressor,
-        label,
-        {"n_estimators": 100, "max_depth": None, **params},
-        {
-            **_TREE_PARAMS,
-            "n_estimators": "numTrees",
-            "bootstrap": "bootstrap",
-            "max_features": "featureSubsetStrategy",
-        },
-        featureSubsetStrategy="all",
-    )
+    renamed = {
+        **_TREE_PARAMS,
+        "n_estimators": "trees",
+        "bootstrap": "bootstrap",
+        "max_features": "features",
+    }
+    return _trees("forest", label, {"n_estimators": 100, "max_depth": None, **params}, renamed)
 
 
 def _boosting(label: str, params: dict) -> Estimator:
-    return _build(
-        GBTRegressor,
-        label,
-        {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, **params},
-        {
-            **_TREE_PARAMS,
-            "n_estimators": "maxIter",
-            "learning_rate": "stepSize",
-            "subsample": "subsamplingRate",
-        },
-    )
+    renamed = {
+        **_TREE_PARAMS,
+        "n_estimators": "trees",
+        "learning_rate": "learning_rate",
+        "subsample": "sample",
+        "start": "start",
+    }
+    defaults = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}
+    return _trees("boosting", label, {**defaults, **params}, renamed)
 
 
 def _tree(label: str, params: dict) -> Estimator:
-    return _build(DecisionTreeRegressor, label, {"max_depth": None, **params}, _TREE_PARAMS)
+    return _trees("tree", label, {"max_depth": None, **params}, _TREE_PARAMS)
 
 
 def _neighbours(label: str, params: dict) -> Estimator:
@@ -151,11 +140,25 @@ def create_estimator(
     return ESTIMATORS[name](label, dict(params or {}))
 
 
+def _trees(kind: str, label: str, params: dict, renamed: dict[str, str]) -> Estimator:
+    given = _renamed(params, renamed)
+    bins = given.pop("max_bins", 32)
+    if params["max_depth"] is None:
+        given["depth"] = _DEEPEST
+    if "features" in given:
+        given["features"] = str(given["features"])
+    return BinnedTrees(
+        featuresCol=VECTOR, labelCol=label, settings={"kind": kind, **given}, maxBins=bins
+    )
+
+
 def _build(cls, label: str, params: dict, renamed: dict[str, str], **fixed) -> Estimator:
+    given = _renamed(params, renamed)
+    return cls(featuresCol=VECTOR, labelCol=label, **given, **fixed)
+
+
+def _renamed(params: dict, renamed: dict[str, str]) -> dict:
     unknown = set(params) - set(renamed)
     if unknown:
         raise ValueError(f"Unknown parameters {sorted(unknown)}. Options: {list(renamed)}")
-    given = {renamed[key]: value for key, value in params.items() if value is not None}
-    if params.get("max_depth", 0) is None:
-        given["maxDepth"] = _DEEPEST
-    return cls(featuresCol=VECTOR, labelCol=label, **given, **fixed)
+    return {renamed[key]: value for key, value in params.items() if value is not None}
