@@ -33,13 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions
 from tidemark.llm.top_k import _long as long
 from tidemark.llm.top_k import _short as short
 from tidemark.session import freeze
 
 #: Vectors in a tile and anchors in a block.
 TILE, BLOCK = 1024, 1024
+#: Tiles and blocks whose products one task makes, one after the other.
+STRIP, BAND = 16, 4
 #: Sides up to which parts are multiplied plainly.
 PLAIN = 64
 #: Percent of the positive's score between which a hard negative's score lies.
@@ -183,6 +184,12 @@ def tiles(rows: DataFrame, size: int, windows: int = 0) -> DataFrame:
     )
 
 
+def _groups(some: DataFrame, size: int) -> int:
+    """How many groups of about ``size`` vectors the tiles make."""
+    total = some.agg(F.sum("n")).first()[0] or 0
+    return max(1, -(-total // size))
+
+
 Visit = Callable[[Heaps, np.ndarray, np.ndarray, np.ndarray, np.ndarray], None]
 
 
@@ -195,19 +202,24 @@ def visits(
     holds. ``visit`` gets the heaps, which have ``slots`` keys an anchor, the scores, the rows of
     block and tile (label, id and name) and the block's bounds.
     """
-    named = blocks.select(*[F.col(c).alias(f"a_{c}") for c in blocks.columns])
-    few = ("tile", "length", "low", "high")
-    spread = partitions(blocks)
-    # What is compared here are tiles, not rows; spread, since most often all have one length.
-    left = named.select(*[f"a_{c}" for c in few], F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("strip"))
-    right = index.select(*few, F.pmod(F.xxhash64("tile"), F.lit(spread)).cast("int").alias("strip"))
-    same = (F.col("a_length") == F.col("length")) & (left["strip"] == right["strip"])
-    pairs = left.join(right, same & meet).select("a_tile", "tile")
-    payload = ("a_length", "a_tile", "a_rows", "a_vectors", "a_bounds", "rows", "vectors")
+    # A task gets a cell: some tiles, picked by hash, and some blocks. Each tile goes to as many
+    # tasks as there are bands of blocks, each block to as many as there are strips of tiles.
+    strips, bands = _groups(index, STRIP * TILE), _groups(blocks, BAND * BLOCK)
+    left = blocks.select(
+        *[F.col(c).alias(f"a_{c}") for c in blocks.columns],
+        F.explode(F.sequence(F.lit(0), F.lit(strips - 1))).alias("strip"),
+        F.pmod(F.xxhash64("tile"), F.lit(bands)).cast("int").alias("band"),
+    )
+    right = index.select(
+        "tile", "length", "low", "high", "rows", "vectors",
+        F.pmod(F.xxhash64("tile"), F.lit(strips)).cast("int").alias("strip"),
+        F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"),
+    )
+    # Merged, not broadcast: then all of a cell is in one task, and its heaps are merged there.
+    cells = left.hint("merge").join(right, ["strip", "band"])
     rows = (
-        pairs.join(named.drop(*[f"a_{c}" for c in few[2:]]), "a_tile")
-        .join(index.select("tile", "rows", "vectors"), "tile")
-        .select(*payload)
+        cells.filter((F.col("a_length") == F.col("length")) & meet)
+        .select("a_length", "a_tile", "a_rows", "a_vectors", "a_bounds", "rows", "vectors")
         .sortWithinPartitions("a_tile")
     )
 
