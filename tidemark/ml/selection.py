@@ -9,18 +9,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.ml.estimators import create_estimator
+from tidemark.ml.folded import ERRORS, error_sums, score_of, with_folds
 from tidemark.ml.linear import LINEAR, solve
-from tidemark.ml.stages import VECTOR, feature_columns
-from tidemark.operators.metrics import SCORER_LEAST, SCORERS, score_column
+from tidemark.ml.stages import feature_columns
+from tidemark.ml.trees import BinnedTable, Fit, Scorer
 from tidemark.operators.moments import products
-from tidemark.operators.ordered import KEYS, ORDER, with_position
 from tidemark.operators.scaling import column_means
-from tidemark.operators.split import fold_ranges
 from tidemark.session import freeze
 
 TREES = ("random_forest", "gradient_boosting", "decision_tree")
@@ -89,7 +88,7 @@ def select_features(
     least = min(config.min_features_to_select, len(columns))
     step = config.step if config.step >= 1 else max(1, config.step * len(columns))
     sizes = elimination_sizes(len(columns), least, int(step))
-    paths = [backend.eliminate(fold, sizes) for fold in range(config.n_splits)]
+    paths = backend.eliminate_all(list(range(config.n_splits)), sizes)
     scores = backend.score(paths)  # (fold, size)
 
     # Ascending sizes, so that the fewest features win a tie.
@@ -125,24 +124,6 @@ def weakest_removed(kept: list[int], weights: np.ndarray, size: int) -> list[int
     return [i for i in kept if i not in gone]
 
 
-def with_folds(matrix: DataFrame, splits: int, gap: int) -> DataFrame:
-    """Adds the first fold that trains on a row, and the fold that tests it.
-
-    Train ranges grow from fold to fold, so a row trains in all folds from its first on;
-    ``splits`` means in none. Tests do not overlap; -1 means in none.
-    """
-    placed = with_position(matrix, keys=KEYS, order=ORDER)
-    position = F.col("position")
-    first, test = F.lit(splits), F.lit(-1)
-    for fold, ranges in reversed(list(enumerate(fold_ranges(F.col("rows"), splits, gap)))):
-        first = F.when(position < ranges["train"][1], F.lit(fold)).otherwise(first)
-        start, end = ranges["test"]
-        test = F.when((position >= start) & (position < end), F.lit(fold)).otherwise(test)
-    return placed.select("*", first.alias("_train_from"), test.alias("_test_fold")).drop(
-        "position", "rows"
-    )
-
-
 class _LinearElimination:
     """One pass gathers the sums of products per fold; each fit is then a small system.
 
@@ -183,6 +164,9 @@ class _LinearElimination:
             path.append(kept)
         return path
 
+    def eliminate_all(self, folds: Sequence[int], sizes: list[int]) -> list[list[list[int]]]:
+        return [self.eliminate(fold, sizes) for fold in folds]
+
     def score(self, paths: list[list[list[int]]]) -> np.ndarray:
         sizes = [len(kept) for kept in paths[0]]
         folds = self.config.n_splits
@@ -192,89 +176,94 @@ class _LinearElimination:
         columns, label, centre = self.columns, self.label, float(self.centres[-1])
 
         def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            sums = np.zeros((folds, len(sizes), len(_ERRORS)))
+            sums = np.zeros((folds, len(sizes), len(ERRORS)))
             for batch in batches:
                 for fold, rows in batch.groupby("_test_fold"):
                     model = models[fold]
-                    y = rows[label].to_numpy(float)[:, None]
-                    error = y - rows[columns].to_numpy(float) @ model[1:] - model[0]
-                    relative = np.abs(error) / np.maximum(np.abs(y), SCORER_LEAST)
-                    ones = np.ones_like(error)
-                    # Centred, so that a label far from zero does not swamp its spread.
-                    away = ones * (y - centre)
-                    pieces = (ones, away, away**2, error**2, np.abs(error), relative)
-                    sums[fold] += np.stack([p.sum(axis=0) for p in pieces], axis=1)
+                    predicted = rows[columns].to_numpy(float) @ model[1:] + model[0]
+                    sums[fold] += error_sums(rows[label].to_numpy(float), predicted, centre)
             fold, size = np.indices(sums.shape[:2])
-            cells = {name: sums[:, :, i].ravel() for i, name in enumerate(_ERRORS)}
+            cells = {name: sums[:, :, i].ravel() for i, name in enumerate(ERRORS)}
             yield pd.DataFrame({"fold": fold.ravel(), "size": size.ravel(), **cells})
 
-        schema = "fold int, size int, " + ", ".join(f"{name} double" for name in _ERRORS)
-        summed = (
-            self.rows.filter(F.col("_test_fold") >= 0)
-            .drop("_train_from")
-            .mapInPandas(per_task, schema)
-            .groupBy("fold", "size")
-            .agg(*[F.sum(name).alias(name) for name in _ERRORS])
-            .toPandas()
-        )
-        scores = np.full((folds, len(sizes)), math.nan)
-        for row in summed.itertuples():
-            scores[row.fold, row.size] = _score(self.config.scoring, row)
-        return scores
-
-
-_ERRORS = ("n", "y", "yy", "squared", "absolute", "relative")
-
-
-def _score(scoring: str | None, sums) -> float:
-    name = scoring or "r2"
-    if name == "r2":
-        spread = sums.yy - sums.y**2 / sums.n
-        return 1 - sums.squared / spread if spread > 0 else math.nan
-    if name not in SCORERS:
-        raise ValueError(f"Unknown scoring {scoring!r}. Options: {list(SCORERS)}")
-    if name == "neg_mean_absolute_percentage_error":
-        return -sums.relative / sums.n
-    if name == "neg_mean_absolute_error":
-        return -sums.absolute / sums.n
-    mse = sums.squared / sums.n
-    return -mse if name == "neg_mean_squared_error" else -math.sqrt(mse)
+        tested = self.rows.filter(F.col("_test_fold") >= 0).drop("_train_from")
+        return _scores(tested.mapInPandas(per_task, _SUMS), folds, len(sizes), self.config.scoring)
 
 
 class _TreeElimination:
-    """Fits Spark's trees on the kept columns of a fold, again for every size."""
+    """All folds drop their weakest features together: one set of fits a size, on one binned table."""
 
     def __init__(self, matrix, label, columns, config):
-        self.columns, self.label, self.config = columns, label, config
-        self.rows = freeze(with_folds(matrix, config.n_splits, config.gap))
-        self.scores: dict[tuple[int, int], float] = {}
+        self.columns, self.config = columns, config
+        estimator = create_estimator(config.estimator, config.params, label)
+        self.settings = estimator.tree_settings()
+        values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+        self.rows = freeze(
+            with_folds(matrix, config.n_splits, config.gap).select(
+                values.alias("x"), F.col(label).alias("y"), "_train_from", "_test_fold"
+            )
+        )
+        self.table = BinnedTable(
+            self.rows, F.col("x"), "y", F.col("_train_from"), estimator.getOrDefault("maxBins")
+        )
+        self.models: dict[tuple[int, int], Scorer] = {}
 
     def eliminate(self, fold: int | None, sizes: list[int]) -> list[list[int]]:
-        train = self.rows if fold is None else self.rows.filter(F.col("_train_from") <= fold)
-        kept, path, weights = list(range(len(self.columns))), [], None
+        return self.eliminate_all([fold], sizes)[0]
+
+    def eliminate_all(self, folds: Sequence[int | None], sizes: list[int]) -> list[list[list[int]]]:
+        kept = [list(range(len(self.columns))) for _ in folds]
+        paths: list[list[list[int]]] = [[] for _ in folds]
+        weights: list[np.ndarray] = []
         for size in sizes:
-            if len(kept) > size:
-                kept = weakest_removed(kept, weights**2, size)
-            path.append(kept)
-            if fold is None and size == sizes[-1]:
+            if len(kept[0]) > size:
+                kept = [weakest_removed(k, w[k], size) for k, w in zip(kept, weights)]
+            for path, own in zip(paths, kept):
+                path.append(own)
+            if folds == [None] and size == sizes[-1]:
                 break
-            vector = VectorAssembler(inputCols=[self.columns[i] for i in kept], outputCol=VECTOR)
-            model = create_estimator(
-                self.config.estimator, self.config.params, self.label
-            ).fit(vector.transform(train))
-            weights = model.featureImportances.toArray()
-            if fold is not None:
-                test = self.rows.filter(F.col("_test_fold") == fold)
-                score = score_column(self.config.scoring, self.label, "prediction")
-                predicted = model.transform(vector.transform(test))
-                self.scores[fold, size] = predicted.agg(score.alias("score")).first()[0]
-        return path
+            fits = [Fit(self.settings, fold, None, tuple(own)) for fold, own in zip(folds, kept)]
+            grown = self.table.fit(fits)
+            weights = [model.importances(len(self.columns)) for model in grown]
+            for fold, model in zip(folds, grown):
+                if fold is not None:
+                    self.models[fold, size] = Scorer(model, [self.table.threshold(t) for t in model.trees])
+        return paths
 
     def score(self, paths: list[list[list[int]]]) -> np.ndarray:
         sizes = [len(kept) for kept in paths[0]]
-        return np.array(
-            [[self.scores[fold, size] for size in sizes] for fold in range(len(paths))]
-        )
+        folds, width, models = self.config.n_splits, len(self.columns), self.models
+        centre = self.table.centre
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((folds, len(sizes), len(ERRORS)))
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                y, tested = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+                for fold in np.unique(tested).tolist():
+                    here = tested == fold
+                    predicted = np.column_stack([models[fold, size](x[here]) for size in sizes])
+                    sums[fold] += error_sums(y[here], predicted, centre)
+            fold, size = np.indices(sums.shape[:2])
+            cells = [pa.array(sums[:, :, i].ravel()) for i in range(len(ERRORS))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(fold.ravel()), pa.array(size.ravel()), *cells], ["fold", "size", *ERRORS]
+            )
+
+        rows = self.rows.filter("_test_fold >= 0").select("x", F.col("y").cast("double"), "_test_fold")
+        return _scores(rows.mapInArrow(run, _SUMS), folds, len(sizes), self.config.scoring)
+
+
+_SUMS = "fold long, size long, " + ", ".join(f"{name} double" for name in ERRORS)
+
+
+def _scores(parts: DataFrame, folds: int, sizes: int, scoring: str | None) -> np.ndarray:
+    """Scores by fold and size, from the sums of errors of every task."""
+    summed = parts.groupBy("fold", "size").agg(*[F.sum(name).alias(name) for name in ERRORS])
+    scores = np.full((folds, sizes), math.nan)
+    for row in summed.toPandas().itertuples():
+        scores[row.fold, row.size] = score_of(scoring, row)
+    return scores
 
 
 def save_selection(

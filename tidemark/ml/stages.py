@@ -137,8 +137,8 @@ class FeatureAssemblerModel(_Stage, Model):
         return apply_scaler(fitted, {c: tuple(s) for c, s in statistics.items()})
 
 
-def build_matrix(df: DataFrame, settings: dict) -> tuple[DataFrame, list[str], list[str]]:
-    """Carried, base and feature columns, and the names of the latter two."""
+def bundle_columns(df: DataFrame, settings: dict) -> tuple[list[str], list[str], dict]:
+    """Names of base and feature columns, and the settings of the feature bundle."""
     target = settings["target_column"]
     listed = settings["base_columns"] if settings["attach_base"] else None
     names.require_columns(df, [target])
@@ -148,7 +148,6 @@ def build_matrix(df: DataFrame, settings: dict) -> tuple[DataFrame, list[str], l
     )
     names.require_columns(df, listed or [])
 
-    carried = carried_columns(df)
     base: list[str] = []
     if settings["attach_base"]:
         candidates = listed or feature_columns(df)
@@ -157,7 +156,13 @@ def build_matrix(df: DataFrame, settings: dict) -> tuple[DataFrame, list[str], l
         key: settings[key]
         for key in ("lags", "returns", "rolling_windows", "high_column", "low_column", "volume_column")
     }
-    built = [c for c in feature_names(target, **bundle) if c not in base]
+    return base, [c for c in feature_names(target, **bundle) if c not in base], bundle
+
+
+def build_matrix(df: DataFrame, settings: dict) -> tuple[DataFrame, list[str], list[str]]:
+    """Carried, base and feature columns, and the names of the latter two."""
+    base, built, bundle = bundle_columns(df, settings)
+    target, carried = settings["target_column"], carried_columns(df)
     slices = [c for c in SLICES if c in df.columns]
     wide = add_features(
         df, target, **bundle, price_for_nominal=settings["price_for_nominal"], keys=(*KEYS, *slices)
