@@ -345,7 +345,7 @@ CORR = (*FIELDS, "macro_a", "macro_n", "amplitude", "nominal_value")
 CORR_SQL = f"""{JOINED_SQL}, wide AS (
   SELECT *, "High" - "Low" AS amplitude, "Close" * "Volume" AS nominal_value FROM joined),
 pairs(i, j, a, b, corr) AS (""" + " UNION ALL ".join(
-    f"SELECT {i}, {j}, '{a}', '{b}', corr(\"{a}\", \"{b}\") FROM wide"
+    f"SELECT {i}, {j}, '{a}', '{b}', nullif(corr(\"{a}\", \"{b}\"), 'NaN'::DOUBLE) FROM wide"
     for i, a in enumerate(CORR)
     for j, b in enumerate(CORR)
     if i < j

@@ -17,6 +17,7 @@ from tidemark.ml.competition import (
 from tidemark.ml.estimators import create_estimator
 from tidemark.ml.selection import SelectionConfig
 from tidemark.ml.stages import FeatureAssembler, FeatureSubset, FillMissing
+from tidemark.ml.trees import TREE_CELLS
 from tidemark.ml.tuning import TuningConfig, search
 from tidemark.operators.split import temporal_split
 from tidemark.plans import forecast as forecasting
@@ -30,7 +31,7 @@ from tidemark.queries.features import (
 from tidemark.queries.fixtures import DAILY_SQL, daily_bars, table
 from tidemark.queries.registry import num, nums, query, tidy, when
 from tidemark.queries.tables import small_blocks
-from tidemark.session import freeze
+from tidemark.session import freeze, setting
 from tidemark.sources.models import latest_versions
 from tidemark.sources.runs import metrics_report
 
@@ -259,6 +260,88 @@ def gbt_two_stumps(spark, folder):
     return _weekday_predictions(spark, folder, "gradient_boosting", params)
 
 
+def _levels_sql(depth: int) -> str:
+    """Grows a tree on x0 and x1 of ``g0`` (node 1, x0, x1, y) level by level into ``g<depth>``."""
+    parts = []
+    for k in range(depth):
+        parts.append(f"""h{k} AS (SELECT node, f, x, count(*) AS n, sum(y) AS s FROM (
+            SELECT node, 0 AS f, x0 AS x, y FROM g{k} UNION ALL SELECT node, 1, x1, y FROM g{k}) GROUP BY ALL),
+          c{k} AS (SELECT node, f, x, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+              sum(n) OVER (PARTITION BY node, f) AS n, sum(s) OVER (PARTITION BY node, f) AS s
+            FROM h{k} WINDOW w AS (PARTITION BY node, f ORDER BY x)),
+          b{k} AS (SELECT DISTINCT ON (node) node, f, x AS t FROM c{k} WHERE nl < n
+            ORDER BY node, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, f, x),
+          g{k + 1} AS (SELECT 2 * g{k}.node + CASE WHEN CASE f WHEN 0 THEN x0 ELSE x1 END > t THEN 1 ELSE 0 END
+              AS node, x0, x1, y FROM g{k} JOIN b{k} USING (node))""")
+    return ", ".join(parts)
+
+
+THREE_LEVELS_SQL = f"""WITH {DAILY_SQL}, g0 AS (
+      SELECT 1 AS node, isodow(ts) - 1 AS x0, month(ts) AS x1,
+        "Close" - (SELECT avg("Close") FROM bars) AS y FROM bars),
+    {_levels_sql(3)},
+    leaf AS (SELECT node, avg(y) + (SELECT avg("Close") FROM bars) AS value FROM g3 GROUP BY 1)
+  SELECT DISTINCT x0::BIGINT AS weekday, x1::BIGINT AS month, {num('value', 'prediction', 2)}
+  FROM g3 JOIN leaf USING (node)"""
+
+
+def _calendar_predictions(spark, folder, name, params):
+    """What a model of the close by weekday and month predicts for each that occurs."""
+    bars = daily_bars(spark, folder).select(
+        F.weekday("ts").cast("double").alias("weekday"), F.month("ts").cast("double").alias("month"), "Close"
+    )
+    rows = VectorAssembler(inputCols=["weekday", "month"], outputCol="features").transform(bars)
+    model = create_estimator(name, params, "Close").fit(rows)
+    days = model.transform(rows.dropDuplicates(["weekday", "month"]))
+    names = [F.col(c).cast("long").alias(c) for c in ("weekday", "month")]
+    return tidy(days.select(*names, "prediction"), 2)
+
+
+@query("dt_three_levels", THREE_LEVELS_SQL)
+def dt_three_levels(spark, folder):
+    """Three levels on two features, grown in tasks on the broadcast table."""
+    return _calendar_predictions(spark, folder, "decision_tree", {"max_depth": 3})
+
+
+@query("dt_three_levels_over_rows", THREE_LEVELS_SQL)
+def dt_three_levels_over_rows(spark, folder):
+    """The same tree by one pass over the rows for each level, as for large tables."""
+    with setting(spark, TREE_CELLS, "0"):
+        return _calendar_predictions(spark, folder, "decision_tree", {"max_depth": 3})
+
+
+@query("rf_of_400_equal_trees", THREE_LEVELS_SQL)
+def rf_of_400_equal_trees(spark, folder):
+    params = {"n_estimators": 400, "max_depth": 3, "bootstrap": False}
+    return _calendar_predictions(spark, folder, "random_forest", params)
+
+
+#: Boosted stumps on weekdays: what is known of a weekday is its count and sum, kept as lists.
+STUMPS_SQL = f"""WITH RECURSIVE {WEEKDAYS_SQL},
+  h AS (SELECT x, count(*)::DOUBLE AS n, sum(y) AS s FROM b GROUP BY x),
+  l AS (SELECT list(x ORDER BY x) AS x, list(n ORDER BY x) AS n, list(s ORDER BY x) AS s FROM h),
+  steps AS (
+    SELECT 0 AS k, list_transform(n, lambda v: 0.0::DOUBLE) AS f, x, n, s FROM l
+    UNION ALL
+    SELECT k + 1, list_transform(range(1, len(n) + 1), lambda i: f[i] + CASE WHEN k = 0 THEN 1.0 ELSE 0.05 END
+        * CASE WHEN i <= j THEN list_sum(t[1:j]) / list_sum(n[1:j])
+          ELSE list_sum(t[j + 1:]) / list_sum(n[j + 1:]) END), x, n, s
+    FROM (SELECT *, list_position(gains, list_max(gains)) AS j FROM (
+      SELECT *, list_transform(range(1, len(n)), lambda i:
+          list_sum(t[1:i]) * list_sum(t[1:i]) / list_sum(n[1:i])
+          + list_sum(t[i + 1:]) * list_sum(t[i + 1:]) / list_sum(n[i + 1:])) AS gains
+      FROM (SELECT *, list_transform(range(1, len(n) + 1),
+          lambda i: CASE WHEN k = 0 THEN s[i] ELSE 2 * (s[i] - n[i] * f[i]) END) AS t FROM steps WHERE k < 100))))
+  SELECT unnest(x)::BIGINT AS weekday, round(unnest(f), 2) AS prediction
+  FROM steps WHERE k = 100"""
+
+
+@query("gbt_hundred_stumps", STUMPS_SQL)
+def gbt_hundred_stumps(spark, folder):
+    params = {"n_estimators": 100, "max_depth": 1, "learning_rate": 0.05}
+    return _weekday_predictions(spark, folder, "gradient_boosting", params)
+
+
 @query("dt_fit")
 def dt_fit(spark, folder):
     return _tree_predictions(spark, folder, "decision_tree", {"max_depth": 5, "random_state": 7})
@@ -267,15 +350,14 @@ def dt_fit(spark, folder):
 @query("rf_fit")
 def rf_fit(spark, folder):
     return _tree_predictions(
-        spark, folder, "random_forest", {"n_estimators": 20, "max_depth": 5, "random_state": 7}
+        spark, folder, "random_forest", {"n_estimators": 400, "max_depth": 6, "random_state": 42}
     )
 
 
 @query("gbt_fit")
 def gbt_fit(spark, folder):
-    return _tree_predictions(
-        spark, folder, "gradient_boosting", {"n_estimators": 10, "max_depth": 3, "random_state": 7}
-    )
+    params = {"n_estimators": 100, "learning_rate": 0.05, "max_depth": 2, "random_state": 42}
+    return _tree_predictions(spark, folder, "gradient_boosting", params)
 
 
 SELECTION = SelectionConfig(
