@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import names
 from tidemark.functions.values import natural_log, ratio
 from tidemark.operators.ordered import KEYS, ORDER, for_each_part, over_rows, with_fills
+from tidemark.operators.rolling import LONG, with_long_windows
 
 
 def lag_column(target: str, n: int, window: WindowSpec) -> Column:
@@ -69,7 +70,10 @@ def add_features(
     keys: Sequence[str] = KEYS,
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
-    """Adds the whole bundle at once, so that all windows share one shuffle and one sort."""
+    """Adds the whole bundle at once, so that all windows share one shuffle and one sort.
+
+    Rolling windows of many rows are merged from blocks, whose cost does not grow with the window.
+    """
     lags = names.expand_lags(lags) if lags != () else ()
     returns = [names.positive("returns", n) for n in returns]
     log_returns = [names.positive("returns", n) for n in log_returns]
@@ -81,17 +85,20 @@ def add_features(
         columns = [lag_column(target, n, window) for n in lags]
         columns += [return_column(target, n, window, f"{target}__forward") for n in returns]
         columns += [log_return_column(target, n, window) for n in log_returns]
-        for size in sizes:
+        for size in short:
             columns.append(rolling_mean_column(target, size, window, min_periods))
             columns.append(rolling_deviation_column(target, size, window, min_periods))
         return columns
 
-    reach = max([0, *lags, *returns, *log_returns, *(size - 1 for size in sizes)])
+    short, long = [s for s in sizes if s < LONG], [s for s in sizes if s >= LONG]
+    reach = max([0, *lags, *returns, *log_returns, *(size - 1 for size in short)])
 
     def add(part: DataFrame) -> DataFrame:
         if returns:
             part = with_fills(part, [target], keys=keys, order=order)
-        return over_rows(part, windows, before=reach, keys=keys, order=order)
+        if lags or returns or log_returns or short:
+            part = over_rows(part, windows, before=reach, keys=keys, order=order)
+        return with_long_windows(part, target, long, min_periods, keys, order)
 
     if lags or returns or log_returns or sizes:
         df = for_each_part(df, add, keys, order).drop(f"{target}__forward")
@@ -101,6 +108,10 @@ def add_features(
         derived.append(amplitude_column(high_column, low_column))
     if volume_column is not None:
         derived.append(nominal_column(price, volume_column))
+    if long:
+        # Columns come in the order of the sizes, however they were made.
+        rolled = [f(target, n) for n in sizes for f in (names.mean_name, names.deviation_name)]
+        df = df.select(*[f"`{c}`" for c in df.columns if c not in rolled], *rolled)
     return df.select("*", *derived)
 
 

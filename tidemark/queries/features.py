@@ -123,6 +123,26 @@ def feature_sma(spark, folder):
     return _only(df, ["Close_sma_5", "Close_sma_20"])
 
 
+LONG_WINDOWS = (101, 251)
+
+
+@query(
+    "feature_rolling_long",
+    f"WITH {DAILY_SQL} SELECT {KEYS_OUT.replace('strftime(ts', 'strftime(bars.ts')}, "
+    + ", ".join(
+        num(_rolling(kind, n), f"Close_{short}_{n}")
+        for n in LONG_WINDOWS
+        for short, kind in (("sma", "avg"), ("std", "stddev_samp"))
+    )
+    + " FROM bars",
+)
+def feature_rolling_long(spark, folder):
+    """Windows of many rows, merged from blocks."""
+    df = add_features(daily_bars(spark, folder), T, lags=(), returns=[], rolling_windows=LONG_WINDOWS)
+    names = [f"Close_{kind}_{n}" for n in LONG_WINDOWS for kind in ("sma", "std")]
+    return _only(df, names)
+
+
 @query("feature_sma_min_periods", _feature({"Close_sma_7": _rolling("avg", 7, 2)}))
 def feature_sma_min_periods(spark, folder):
     df = add_features(
