@@ -462,8 +462,11 @@ def test_training_then_forecast(spark, bars, tmp_path):
     assert (row.model_version, row.model_name) == ("1", "prices")
     only = forecast_from_registry(bars, config, models_path=base, prediction_date=end, ticker=" mid ")
     assert only.count() == 1
+    # Without a date that can be read it is now: the bars are old, but each series has enough of them.
+    late = forecast_from_registry(bars, config, models_path=base, prediction_date="no date").collect()
+    assert len(late) == 3 and all(r.complete and not r.date_was_read for r in late)
     with pytest.raises(ValueError):
-        forecast_from_registry(bars, config, models_path=base, prediction_date="no date")
+        forecast_from_registry(bars, config, models_path=base, ticker="absent")
 
 
 def test_history_rules():
@@ -498,6 +501,28 @@ def test_forecast_over_gaps_and_short_series(spark, bars):
         assert got[name].complete and got[name].prediction_value == pytest.approx(by_hand)
 
 
+def test_forecast_of_a_series_does_not_depend_on_others(spark, bars):
+    """Recent bars with holes, a stale series, and what both get alone and in company."""
+    model = lagged_model(spark, bars, [20])
+    end = "2024-09-01"
+    holes = bars.filter("series_id = 'big' and ts < '2024-08-01'").withColumn("series_id", F.lit("holes"))
+    recent = holes.filter("ts >= '2024-06-20'").withColumns(
+        {"ts": F.expr("ts + interval 50 days"), "ordinal": F.col("ordinal") + 1000,
+         "Close": F.when(F.col("ordinal") % 2 == 0, F.col("Close"))}).filter(f"ts < '{end}'")
+    holes = holes.filter("ts < '2024-06-20'").unionByName(recent)
+    assert 0 < recent.dropna().count() < 21 < recent.count()
+    stale = bars.filter("series_id = 'mid'")
+    fresh = bars.filter("series_id = 'big'").withColumn("ts", F.expr("ts - interval 16 days"))
+    together = holes.unionByName(stale).unionByName(fresh)
+    got = {r.series_id: r for r in forecast(together, model, horizon=5, prediction_date=end).collect()}
+    for name, source in (("holes", holes), ("mid", stale), ("big", fresh)):
+        newest = source.dropna(subset=["Close"]).filter(f"ts < '{end}'").orderBy(F.desc("ts")).limit(21)
+        by_hand = model.transform(newest).orderBy(F.desc("ts")).first().prediction
+        assert got[name].complete and got[name].prediction_value == pytest.approx(by_hand)
+        (alone,) = forecast(source, model, horizon=5, prediction_date=end).collect()
+        assert alone == got[name]
+
+
 def test_forecast_with_macro(spark, bars, tmp_path):
     """The model's macro column is attached for the days looked at; without it there is an error."""
     days = bars.filter("series_id = 'big'").select("ts").distinct()

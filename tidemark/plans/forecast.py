@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import business_day_offset, date_or_now, iso_text, largest_integer
 from tidemark.ml.stages import FeatureAssemblerModel, FeatureSubset
-from tidemark.operators.clean import keep_one_per_key, numbers_to_double
+from tidemark.operators.clean import HELPERS, keep_one_per_key, numbers_to_double
 from tidemark.operators.features import feature_names
 from tidemark.operators.ordered import KEYS
 from tidemark.plans.ingest import aligned_dataset
@@ -61,23 +61,37 @@ def lookback_start(end: Column, days: int, configured: str | None = None) -> Col
     return F.greatest(start, F.lit(configured).cast("timestamp")) if configured else start
 
 
-def newest_bars(bars: DataFrame, rows: int, start: Column, end: Column) -> tuple[DataFrame, DataFrame]:
-    """The bars before ``end`` that a forecast may need, and the number of the newest ones to use.
+def newest_bars(
+    bars: DataFrame, rows: int, start: Column, end: Column, whole: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The bars before ``end`` that a forecast may need, and a row for every series with a bar.
 
-    The first result holds the bars from ``start`` on, which reaches the scan, and for every series
-    with fewer than ``rows`` of them its whole history. The second one has a row per series; without
-    any bar from ``start`` on both are empty.
+    A series with ``rows`` complete bars from ``start`` on is read from there, which reaches the
+    scan. Any other one gives its newest ``rows`` complete bars, however old: such are picked in every
+    partition before the shuffle. With ``whole`` it gives its whole history, so that values which
+    lie further back can be filled forward. No series depends on another one.
     """
     before = bars.filter(F.col("ts") < end)
     window = before.filter(F.col("ts") >= start)
-    counts = window.groupBy(*KEYS).agg(F.countDistinct("ts").alias("n"))
+    columns = [c for c in bars.columns if c not in HELPERS]
+    full = reduce(lambda a, b: a & b, [_has_value(bars, c) for c in columns], F.lit(True))
+    counts = window.filter(full).groupBy(*KEYS).agg(F.countDistinct("ts").alias("n"))
     known = before.select(*KEYS).distinct().join(counts, list(KEYS), "left")
     known = freeze(known.select(*KEYS, F.coalesce("n", F.lit(0)).alias("n")))
-    if known.filter("n > 0").isEmpty():  # nothing recent at all: no forecast for anyone
-        known = known.limit(0)
     short = known.filter(F.col("n") < rows).select(*KEYS)
     late = window.join(short, list(KEYS), "left_anti")
-    return late.unionByName(before.join(short, list(KEYS), "left_semi")), known
+    early = before.join(short, list(KEYS), "left_semi")
+    if not whole:
+        newest = Window.partitionBy(*KEYS).orderBy(F.col("ts").desc(), F.col("ordinal").desc())
+        once = keep_one_per_key(early.filter(full), "last")
+        early = once.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= rows).drop("_r")
+    return late.unionByName(early), known
+
+
+def _has_value(bars: DataFrame, column: str) -> Column:
+    value = F.col(f"`{column}`")
+    number = bars.schema[column].dataType.typeName() in ("double", "float")
+    return value.isNotNull() & ~F.isnan(value) if number else value.isNotNull()
 
 
 def needed_columns(model: PipelineModel) -> tuple[list[str], list[str]]:
@@ -130,9 +144,10 @@ def forecast(
     if configured_start:
         bars = bars.filter(F.col("ts") >= F.lit(configured_start).cast("timestamp"))
 
-    found, known = newest_bars(bars, rows, first, last)
+    with_macro = macro is not None and bool(macro_series)
+    found, known = newest_bars(bars, rows, first, last, whole=with_macro)
     wide = None
-    if macro is not None and macro_series:
+    if with_macro:
         span = found.agg(F.min("ts").cast("string"), F.max("ts").cast("string")).first()
         wide = fetch_macro(macro, macro_series, *(span if span[0] else (None, None)))
     data = keep_one_per_key(numbers_to_double(aligned_dataset(found, wide, macro_fill_method, macro_on)), "last")

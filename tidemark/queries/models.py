@@ -28,7 +28,8 @@ from tidemark.queries.features import (
     _guesses,
     _over,
 )
-from tidemark.queries.fixtures import DAILY_SQL, daily_bars, table
+from tidemark.plans.ingest import fetch_market_data
+from tidemark.queries.fixtures import DAILY_SQL, MACRO_SQL, daily_bars, macro_long, table
 from tidemark.queries.registry import num, nums, query, tidy, when
 from tidemark.queries.tables import small_blocks
 from tidemark.session import freeze, setting
@@ -551,8 +552,11 @@ def competition_shipped(spark, folder):
 FORECAST_END = "2001-06-15"
 
 
-def _forecast_sql(rows: str, need: int, value: str) -> str:
-    """A row per series from the newest of ``rows``, which have the bar's number from the end."""
+def _forecast_sql(rows: str, need: int, value: str, more: str = "") -> str:
+    """A row per series from the newest of ``rows``, which have the bar's number from the end.
+
+    ``more`` is what a complete row needs beside enough bars.
+    """
     return f"""newest AS (
         SELECT series_id, max(ts) AS latest, min(ts) AS oldest, count(*) AS n
         FROM {rows} WHERE back <= {need} GROUP BY 1),
@@ -563,7 +567,7 @@ def _forecast_sql(rows: str, need: int, value: str) -> str:
           WHEN 7 THEN latest - INTERVAL 2 DAY ELSE latest END + INTERVAL 28 DAY, '%Y-%m-%d')
           AS prediction_date,
         {num(f"CASE WHEN n >= {need} THEN {value} END", 'prediction_value', 2)},
-        coalesce(n >= {need}, false) AS complete, true AS date_was_read
+        coalesce(n >= {need} {more}, false) AS complete, true AS date_was_read
       FROM known LEFT JOIN newest USING (series_id)
         LEFT JOIN (SELECT * FROM {rows} WHERE back = 1) AS last USING (series_id), ols"""
 
@@ -616,6 +620,57 @@ def forecast_twenty_lags(spark, folder):
     return tidy(result, 2)
 
 
+def _filled(column: str, over: str) -> str:
+    """SQL for the last value so far, else the next one."""
+    return f"""coalesce(last_value({column} IGNORE NULLS) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value({column} IGNORE NULLS) OVER ({over} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+
+LOOKED_FROM = "2001-05-10"
+_IN_SERIES = "PARTITION BY series_id ORDER BY ts, ordinal"
+
+
+@query(
+    "forecast_with_macro",
+    f"""WITH {SPLIT_SQL}, {MACRO_SQL},
+      joined AS (SELECT bars.*, macro_a FROM bars LEFT JOIN macro_wide USING (ts)),
+      carried AS (SELECT series_id, ts, ordinal, {_filled("macro_a", _IN_SERIES)} AS m FROM joined),
+      inside AS (SELECT parts.*, m FROM parts JOIN carried USING (series_id, ts, ordinal) WHERE split = 'train'),
+      ranked AS (SELECT *, row_number() OVER ({_IN_SERIES}) AS r FROM inside),
+      lean AS (SELECT m, "{LABEL}" AS y, coalesce(lag("Close", 1) OVER ({_IN_SERIES}), 0) AS x
+        FROM ranked WHERE r > 1),
+      mo AS (SELECT avg(x) AS mx, avg(m) AS mm, avg(y) AS my, var_pop(x) AS aa, var_pop(m) AS bb,
+        covar_pop(x, m) AS ab, covar_pop(x, y) AS ay, covar_pop(m, y) AS by_ FROM lean),
+      ols AS (SELECT *, (ay*bb - by_*ab) / (aa*bb - ab*ab) AS wa, (by_*aa - ay*ab) / (aa*bb - ab*ab) AS wb FROM mo),
+      near AS (SELECT series_id, count(*) FILTER (ts >= TIMESTAMP '{LOOKED_FROM}') AS late FROM joined
+        WHERE ts < TIMESTAMP '{FORECAST_END}' GROUP BY 1),
+      looked AS (SELECT joined.* FROM joined JOIN near USING (series_id) WHERE ts < TIMESTAMP '{FORECAST_END}'
+        AND (late < 2 OR ts >= TIMESTAMP '{LOOKED_FROM}')),
+      recent AS (SELECT series_id, ts, "Close" AS c, {_filled("macro_a", _IN_SERIES)} AS m,
+        lag("Close", 1) OVER ({_IN_SERIES}) AS x,
+        row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) AS back FROM looked),
+      {_forecast_sql('recent', 2, 'my + wa * (last.x - mx) + wb * (last.m - mm)', 'AND last.m IS NOT NULL')}""",
+)
+def forecast_with_macro(spark, folder):
+    """A model of the last close and a macro series; the series is attached to the newest bars."""
+    names = {"macro_a": "macro_a"}
+    bars, macro = daily_bars(spark, folder), macro_long(spark, folder)
+    dataset = fetch_market_data(
+        bars, ticker=None, start="1995-01-01", end="2002-01-01", macro=macro, macro_series=names
+    )
+    assembler = FeatureAssembler(
+        target_column=T, **{**LEAN, "attach_base": True, "base_columns": ["macro_a"]}
+    )
+    outcome = run_competition(
+        temporal_split(dataset, T, gap=1, horizon=HORIZON), LABEL, assembler,
+        [Candidate("linear_regression", "linear_regression")], primary_metric="mae",
+    )
+    result = forecasting.forecast(
+        bars, outcome.best.model, horizon=HORIZON, prediction_date=FORECAST_END, macro=macro, macro_series=names
+    )
+    return tidy(result, 2)
+
+
 @query(
     "lookback_window",
     f"""WITH {DAILY_SQL} SELECT series_id, {when()}, {nums('Close')} FROM bars
