@@ -61,7 +61,7 @@ def shingles(text):
     return {tuple(found[i : i + 5]) for i in range(len(found) - 4)}
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, percent=75):
     """(doc_id, text) to (doc_id, n_shingles, component_id), by all pairs."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -75,7 +75,7 @@ def near_duplicates(rows):
     for i, s in enumerate(sets):
         shared = Counter(j for x in s for j in post[x])
         for j, both in shared.items():
-            if 100 * both >= 75 * (len(s) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 parent[root(i)] = root(j)
         for x in s:
             post[x].append(i)

@@ -4,7 +4,8 @@ A document's set is its distinct five-word shingles. A signature has 64 coordina
 value of one hash over the set. Documents are posted under every (coordinate, value) pair they have;
 documents with a similarity of 0.75 agree in 48 of 64 coordinates on average, and pairs that agree
 in 32 or more are the ones to look at. That threshold loses a pair at exactly 0.75 with a
-probability of 4.6e-6, less for more alike pairs. Collisions are not counted pair by pair.
+probability of 4.6e-6, less for more alike pairs; other similarities have thresholds of their own, by
+the same binomial bound. Collisions are not counted pair by pair.
 
 *Prefix.* Only shared values count. A document with fewer than 32 shared values has no partner; of
 the others only the rarest m - 31 of its m shared values are posted for joining, since two
@@ -33,6 +34,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
+from math import exp, lgamma
+from math import log as log_of
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +48,12 @@ from tidemark.session import freeze
 
 WORDS = 5
 COORDINATES = 64
-AGREE = 32
-#: Coordinates of the finer signature, one bit of each, and their agreements asked for in the two
-#: rounds. A bit agrees by chance every other time: a pair at 0.75 has 1,792 agreements on average,
-#: with a deviation of 15.
+#: Coordinates of the finer signature, one bit of each.
 FINE = 2048
-ROUNDS = (1786, 1721)
 #: A link has PERCENT * union <= 100 * intersection.
 PERCENT = 75
+#: Chance to lose a pair just at the wanted similarity, by either signature.
+LOSS, FINE_LOSS = 5e-6, 2.1e-6
 
 #: Word hashes that a worker remembers at most.
 MEMORY = 200_000
@@ -60,6 +61,31 @@ MEMORY = 200_000
 _SCHEMA = "doc_id long, r1 long, r2 long, ck binary, n_shingles long, sig array<long>"
 
 
+def least_agreements(n: int, p: float, loss: float) -> int:
+    """The greatest k such that fewer than k of n agreements, each of chance p, have a chance <= loss."""
+    below, k = 0.0, 0
+    while k < n:
+        if 0 < p < 1:
+            log = lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log_of(p) + (n - k) * log_of(1 - p)
+            below += exp(log)
+        if below > loss or p <= 0:
+            break
+        k += 1
+    return max(1, k)
+
+
+def fine_rounds(percent: float) -> tuple[int, int]:
+    """Agreements of finer signatures asked for in the two rounds.
+
+    A bit agrees by chance every other time. The first round takes what agrees about as pairs at
+    the wanted similarity do on average, the last one what leaves a chance above FINE_LOSS.
+    """
+    p = (1 + percent / 100) / 2
+    usual = int(FINE * p - 0.4 * (FINE * p * (1 - p)) ** 0.5)
+    last = least_agreements(FINE, p, FINE_LOSS)
+    return max(usual, last), last
+
+
 class _Hashes(dict):
     """Hash of a word; forgets all when it has grown too large."""
 
@@ -291,12 +317,18 @@ def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
-    coordinates: int = COORDINATES, agree: int = AGREE, percent: int = PERCENT,
+    coordinates: int = COORDINATES, agree: int | None = None, percent: int = PERCENT,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document.
 
+    ``agree`` and the thresholds of the finer signatures follow from ``percent`` if not given.
+
     Beside them r1 and r2, the name of the row, and ``stays``: true for one row of each group.
     """
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must lie above 0 and up to 100, not {percent}.")
+    if agree is None:
+        agree = least_agreements(coordinates, percent / 100, LOSS)
     rows = freeze(signatures(docs, doc_id, text, words, coordinates))
     labels = class_labels(docs, rows, doc_id, text, words, agree, percent)
     labelled = joined_by_size(rows.drop("sig"), labels, "ck")
@@ -386,7 +418,7 @@ def class_labels(
         )
     )
     fresh = edges
-    for least in ROUNDS:
+    for least in fine_rounds(percent):
         pairs = between_groups(posted, labels, sets, least, percent)
         found = freeze(confirmed(pairs, sets, percent))
         labels = merged(labels, found if fresh is None else fresh.union(found))
