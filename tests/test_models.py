@@ -419,6 +419,33 @@ def test_versions_and_runs(spark, train, tmp_path):
     assert runs.filter("parent_run_id is not null").select("parent_run_id").distinct().first()[0] == parent.run_id
 
 
+def test_parallel_writers_and_a_broken_save(spark, train, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    base, runs = str(tmp_path / "models"), str(tmp_path / "runs")
+    model = Pipeline(stages=[FillMissing()]).fit(train)
+
+    class Broken:
+        def write(self):
+            raise OSError("no space")
+
+    def write(i):
+        log = RunLog(spark, runs, f"run{i}")
+        log.log_metrics({"rmse": float(i)})
+        log.end()
+        return register_model(spark, base, model, "m", run_id=str(i))
+
+    with pytest.raises(OSError):
+        register_model(spark, base, Broken(), "m")
+    with ThreadPoolExecutor(8) as pool:
+        versions = sorted(pool.map(write, range(8)), key=int)
+    assert versions == [str(v) for v in range(2, 10)]  # the broken one keeps its number
+    with pytest.raises(OSError):
+        register_model(spark, base, Broken(), "m")
+    assert load_latest(spark, base, "m").version == "9"
+    assert read_runs(spark, runs).count() == 8
+
+
 CONFIG = {
     "target_column": "Close",
     "horizon": 5,

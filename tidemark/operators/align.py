@@ -39,13 +39,16 @@ def attach_macro(bars: DataFrame, macro: DataFrame, on: str = "timestamp") -> Da
 def fill_macro(df: DataFrame, columns, policy: str | None = "ffill") -> DataFrame:
     """Fills along each series in both directions; the policy says which one comes first.
 
-    ``bfill`` (or ``backfill``) prefers the next value, everything else the last one. Either way
-    leading gaps take a later value, so early rows see the future.
+    ``bfill`` (or ``backfill``) prefers the next value, ``nearest`` the one closer in time, of two
+    equally close ones the earlier, everything else the last one. Either way leading gaps take a later
+    value, so early rows see the future.
     """
     policy = {"pad": "ffill", "backfill": "bfill"}.get(policy, policy)
-    if policy not in ("ffill", "bfill", None):
-        options = ["ffill", "pad", "bfill", "backfill", None]
+    if policy not in ("ffill", "bfill", "nearest", None):
+        options = ["ffill", "pad", "bfill", "backfill", "nearest", None]
         raise ValueError(f"Unknown fill policy {policy!r}. Options: {options}")
+    if policy == "nearest":
+        return _fill_nearest(df, list(columns))
     filled = with_fills(df, list(columns), backward=True, keys=KEYS, order=ORDER)
     first, second = ("backward", "forward") if policy == "bfill" else ("forward", "backward")
     wanted = set(columns)
@@ -55,3 +58,19 @@ def fill_macro(df: DataFrame, columns, policy: str | None = "ffill") -> DataFram
             for c in df.columns
         ]
     )
+
+
+def _fill_nearest(df: DataFrame, columns) -> DataFrame:
+    """A value travels with the time it was seen at, so that the closer of two neighbours is known."""
+    seen = {c: F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.unix_micros("ts").alias("at"), F.col(f"`{c}`").alias("v")))
+            for c in columns}
+    held = df.select("*", *[value.alias(f"{c}__seen") for c, value in seen.items()])
+    filled = with_fills(held, [f"{c}__seen" for c in columns], backward=True, keys=KEYS, order=ORDER)
+    now = F.unix_micros("ts")
+
+    def nearest(c: str):
+        last, following = F.col(f"{c}__seen__forward"), F.col(f"{c}__seen__backward")
+        closer = following["at"] - now < now - last["at"]
+        return F.when(last.isNull() | closer, following["v"]).otherwise(last["v"]).alias(c)
+
+    return filled.select(*[nearest(c) if c in seen else F.col(f"`{c}`") for c in df.columns])

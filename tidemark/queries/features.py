@@ -361,6 +361,26 @@ def exact_quantiles(spark, folder):
     return tidy(spark.createDataFrame(rows, "column string, fraction double, value double"))
 
 
+WIDE = {f"x{i}": f"l_extendedprice / {i}.37e0 + l_quantity * {i}.0e0 / 7 - l_discount * {10 * i}.0e0 / 3" for i in range(1, 36)}
+
+
+@query(
+    "scale_robust_wide",
+    f"WITH x AS (SELECT {', '.join(f'({e})::DOUBLE AS {c}' for c, e in WIDE.items())} FROM lineitem) SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {num(f'quantile_cont({c}, 0.5)', 'centre')},
+            {num(f'quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)', 'scale')} FROM x"""
+        for c in WIDE
+    )
+    + ")",
+)
+def scale_robust_wide(spark, folder):
+    """Median and quartiles of 35 columns at once."""
+    wide = table(spark, folder, "lineitem").selectExpr(*[f"cast({e} as double) as {c}" for c, e in WIDE.items()])
+    fitted = scaling.fit_scaler(wide, list(WIDE), "robust")
+    return tidy(spark.createDataFrame([(c, *fitted[c]) for c in WIDE], "column string, centre double, scale double"))
+
+
 CORR = (*FIELDS, "macro_a", "macro_n", "amplitude", "nominal_value")
 CORR_SQL = f"""{JOINED_SQL}, wide AS (
   SELECT *, "High" - "Low" AS amplitude, "Close" * "Volume" AS nominal_value FROM joined),

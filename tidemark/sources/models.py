@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.files import path_exists
+from tidemark.sources.files import append_rows, claim, path_exists, read_rows
 
 SCHEMA = (
     "name string, version string, uri string, run_id string, tags map<string,string>, "
@@ -48,13 +48,18 @@ def register_model(
 ) -> str:
     """Saves the model as the next version and adds it to the table; returns the version.
 
-    The example's schema is kept in the table and its first row beside the model.
+    A version is claimed by creating a file that was not there; who comes second takes the next one.
+    The table names a version only after its model is complete, so a save that breaks off leaves a
+    gap in the numbers and no entry. The example's schema is kept in the table and its first row
+    beside the model.
     """
     known = _table(spark, base)
     last = 0
     if known is not None:
         row = latest_versions(known.filter(F.col("name") == name)).first()
         last = int(row["version"]) if row else 0
+    while not claim(spark, f"{base}/claims/{name}/{last + 1}"):
+        last += 1
     version = str(last + 1)
     uri = f"{base}/{name}/version={version}"
     model.write().save(uri)
@@ -63,9 +68,8 @@ def register_model(
         schema = example.schema.json()
         example.limit(1).write.json(f"{uri}/input_example")
     entry = [(name, version, uri, run_id, dict(tags or {}), None, schema)]
-    spark.createDataFrame(entry, SCHEMA).withColumn("created_at", F.current_timestamp()).coalesce(
-        1
-    ).write.mode("append").parquet(f"{base}/models")
+    rows = spark.createDataFrame(entry, SCHEMA).withColumn("created_at", F.current_timestamp())
+    append_rows(rows, f"{base}/models")
     return version
 
 
@@ -81,4 +85,4 @@ def load_latest(spark: SparkSession, base: str, name: str) -> LoadedModel:
 
 def _table(spark: SparkSession, base: str) -> DataFrame | None:
     path = f"{base}/models"
-    return spark.read.schema(SCHEMA).parquet(path) if path_exists(spark, path) else None
+    return read_rows(spark, path, SCHEMA) if path_exists(spark, path) else None

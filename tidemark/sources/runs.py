@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import append_rows, read_rows
+
 SCHEMA = "run_id string, parent_run_id string, name string, kind string, key string, value string"
 
 
@@ -40,9 +42,7 @@ class RunLog:
         self._add("dict", {key: json.dumps(value)})
 
     def end(self) -> None:
-        self.spark.createDataFrame(self.rows, SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        append_rows(self.spark.createDataFrame(self.rows, SCHEMA), self.path)
         self.rows = []
 
     def _add(self, kind: str, values: Mapping) -> None:
@@ -54,7 +54,7 @@ class RunLog:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(path)
+    return read_rows(spark, path, SCHEMA)
 
 
 def run_values(runs: DataFrame, run_id: str, kinds=("param", "tag")) -> dict[str, str]:
