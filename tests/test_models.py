@@ -195,10 +195,32 @@ def test_estimator_errors():
     assert set(ESTIMATORS) >= {"linear_regression", "lasso", "ridge", "knn"}
 
 
+def test_neighbours_visit_few_blocks(spark, monkeypatch):
+    """Eight features of like spread; predictions are exact all the same."""
+    monkeypatch.setattr(knn, "_BLOCK_ROWS", 100)
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(12_000, 8))
+    label = draw.normal(size=12_000)
+    df = spark.createDataFrame(
+        [(*map(float, r), float(v), i) for i, (r, v) in enumerate(zip(x, label))],
+        ", ".join(f"f{i} double" for i in range(8)) + ", label double, id int",
+    )
+    rows = VectorAssembler(inputCols=[f"f{i}" for i in range(8)], outputCol="features").transform(df)
+    model = create_estimator("knn", {"n_neighbors": 5}).fit(rows)
+    asked = rows.filter("id % 60 = 0")
+    assert model.table(spark).select("block").distinct().count() == 128
+    assert model.visited_share(asked) <= 0.3
+    got = model.transform(asked).orderBy("id").select("prediction").collect()
+    distance = ((x[::60, None] - x[None]) ** 2).sum(-1)
+    expected = [label[np.argsort(d, kind="stable")[:5]].mean() for d in distance]
+    assert [r.prediction for r in got] == pytest.approx(expected)
+
+
 @pytest.mark.parametrize("block, share", [(10_000, 10_000), (17, 5), (1, 3)])
 def test_neighbours_equal_brute_force(spark, monkeypatch, blocks, block, share):
     """Small blocks and shares, many equal rows, and queries far outside the data."""
     monkeypatch.setattr(knn, "_BLOCK_ROWS", block)
+    monkeypatch.setattr(knn, "_NEXT", 2)
     monkeypatch.setattr(knn, "_QUERIES_PER_TASK", share)
     monkeypatch.setattr(knn, "_PAIRS_AT_ONCE", 50)
     blocks(40)

@@ -153,7 +153,7 @@ def test_weekend_observation_is_lost(spark, join_way):
 
 @pytest.mark.parametrize(
     "policy, expected", [("ffill", [3.0, 3.0, 3.0, 7.0, 7.0]), ("bfill", [3.0, 3.0, 7.0, 7.0, 7.0]),
-                         (None, [3.0, 3.0, 3.0, 7.0, 7.0])]
+                         ("nearest", [3.0, 3.0, 3.0, 7.0, 7.0]), (None, [3.0, 3.0, 3.0, 7.0, 7.0])]
 )
 def test_fill_policies(spark, join_way, policy, expected):
     bars = series(spark, [1.0] * 5)
@@ -162,7 +162,7 @@ def test_fill_policies(spark, join_way, policy, expected):
     )
     assert values(align.fill_macro(align.attach_macro(bars, macro), ["m"], policy), "m") == expected
     with pytest.raises(ValueError, match="ffill"):
-        align.fill_macro(bars, ["Close"], "nearest")
+        align.fill_macro(bars, ["Close"], "cubic")
 
 
 def test_join_on_date(spark):
@@ -446,7 +446,29 @@ def test_fill_policy_names(spark):
     assert values(align.fill_macro(df, ["Close"], "pad"), "Close") == values(align.fill_macro(df, ["Close"], "ffill"), "Close")
     assert values(align.fill_macro(df, ["Close"], "backfill"), "Close") == values(align.fill_macro(df, ["Close"], "bfill"), "Close")
     with pytest.raises(ValueError):
-        align.fill_macro(df, ["Close"], "nearest")
+        align.fill_macro(df, ["Close"], "cubic")
+
+
+def test_nearest_fill(spark, blocks):
+    """The closer neighbour in time, of two the earlier; ends take the only one; times, not places."""
+    rows = [("s", START + timedelta(hours=h), i, v) for i, (h, v) in enumerate(
+        [(0, None), (1, 1.0), (2, None), (9, None), (10, 2.0), (12, None), (14, 3.0), (99, None)])]
+    rows += [("none", START, 0, None)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp, ordinal long, m double")
+    want = [None, 1.0, 1.0, 1.0, 2.0, 2.0, 2.0, 3.0, 3.0]
+    assert values(align.fill_macro(df, ["m"], "nearest"), "m") == want
+    blocks(2)
+    assert values(align.fill_macro(df, ["m"], "nearest"), "m") == want
+
+
+def test_csv_with_other_names(spark, tmp_path):
+    """A time column named otherwise, and a file of one series without a column for it."""
+    (tmp_path / "one.csv").write_text("Date,Close,note\n2024-01-02,1.5,a\n2024-01-01,2.5,b\n")
+    got = load_dataset(spark, {"path": str(tmp_path / "one.csv"), "time_column": "Date", "series": "X"})
+    assert [(r.series_id, str(r.ts.date()), r.Close, r.note) for r in got.orderBy("ordinal").collect()] == [
+        ("X", "2024-01-01", 2.5, "b"), ("X", "2024-01-02", 1.5, "a")]
+    with pytest.raises((KeyError, ValueError)):
+        load_dataset(spark, {"path": str(tmp_path / "one.csv"), "time_column": "When"})
 
 
 def test_csv_keeps_text(spark, tmp_path):
