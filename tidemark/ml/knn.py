@@ -87,7 +87,7 @@ class NearestNeighbours(_Neighbours, Estimator, DefaultParamsReadable, DefaultPa
         rows = freeze(rows.withColumn("tid", F.xxhash64("mix", "copy", "x")))
 
         cores = dataset.sparkSession.sparkContext.defaultParallelism
-        wanted = max(-(-count // _BLOCK_ROWS), min(2 * cores, count // _LEAST_ROWS))
+        wanted = max(-(-count // _block_rows(dataset.sparkSession)), min(2 * cores, count // _LEAST_ROWS))
         leaves = min(_MOST_BLOCKS, 1 << max(0, (wanted - 1).bit_length()))
         sample = rows.orderBy("tid").limit(_SAMPLED * leaves).select("x").toPandas()["x"]
         turned = np.stack(sample.to_numpy()) @ np.array(rotation).reshape(len(sample[0]), -1)
@@ -246,6 +246,10 @@ class _Boxes:
         return run
 
 
+def _block_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.tidemark.neighbourRows", str(_BLOCK_ROWS)))
+
+
 def _matrix(values: pa.Array) -> np.ndarray:
     flat = values.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(values), -1) if len(values) else flat.reshape(0, 0)
@@ -320,7 +324,7 @@ def _visit(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
     # At most _MOST_BLOCKS rows each, so they can be broadcast.
     load = queries.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     shares = load.select("block", F.ceil(F.col("n") / _QUERIES_PER_TASK).alias("shares"))
-    sizes = train.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / _BLOCK_ROWS).alias("pieces"))
+    sizes = train.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / _block_rows(train.sparkSession)).alias("pieces"))
     every = lambda c: F.explode(F.sequence(F.lit(0), (F.col(c) - 1).cast("int")))
     some = lambda name, c: F.pmod(F.xxhash64(name), F.col(c)).cast("int")
     left = (
