@@ -187,6 +187,13 @@ def test_ingest_drops_incomplete_bars_after_filling(spark, tmp_path):
     assert "em" not in ingest_from_config(bars, config, macro, skip_macro=True).columns
     with pytest.raises(ValueError, match="ticker"):
         ingest_from_config(bars, {"start": "2024-01-01", "end": "2024-02-01"})
+    with pytest.raises(ValueError, match="macro"):
+        ingest_from_config(bars, config)  # series are named, but there is no table
+    every = ingest_from_config(bars, {**config, "ticker": None, "save": {}}, skip_macro=True)
+    assert every.select("series_id").distinct().count() == bars.select("series_id").distinct().count()
+    dated = {**config, "save": {}, "macro": {**config["macro"], "on": "date"}}
+    noon = macro.withColumn("ts", F.col("ts") + F.expr("interval 12 hours"))
+    assert ingest_from_config(bars, dated, noon).filter("em is not null").count() > 0
 
 
 # --- cleaning
@@ -343,6 +350,18 @@ def test_correlation_equals_pandas(wide):
             assert r.n == (frame[r.a].notna() & frame[r.b].notna()).sum()
 
 
+@pytest.mark.parametrize("tile", [1, 2, 3])
+def test_correlation_by_tiles(spark, wide, monkeypatch, tile):
+    _, df = wide
+    cells = lambda d: {(r.a, r.b): (r.n, r.corr) for r in d.collect()}
+    whole = cells(moments.pairwise_correlation(df, list("abcde")))
+    monkeypatch.setattr(moments, "_TILE", tile)
+    parts = cells(moments.pairwise_correlation(df, list("abcde")))
+    assert set(parts) == set(whole) and len(whole) == 10
+    for key, (n, corr) in whole.items():
+        assert parts[key][0] == n and parts[key][1] == (corr if corr is None else pytest.approx(corr, rel=1e-12))
+
+
 def test_correlated_columns_count_dropped_ones(wide):
     _, df = wide
     # b goes because of a; c goes because of b, though b is gone itself.

@@ -8,6 +8,7 @@ driver grows with the square of the column count and not with the rows.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -58,35 +59,22 @@ def pairwise_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, n, corr) for each pair a before b, over the rows where both have a value.
 
     A constant side gives NULL. Columns are centred by their means first, which keeps
-    the differences of large sums accurate.
+    the differences of large sums accurate. Many columns are taken tile by tile: a task
+    reads the columns of two tiles only, so its memory does not grow with their number.
     """
     names = list(columns)
     if len(names) < 2:
         raise ValueError("Correlation needs at least two columns.")
     centres = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in names]).first()
     shift = np.array([centres[c] for c in names], dtype=float)
-    width = len(names)
-
-    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((6, width, width))
-        for batch in batches:
-            values = batch[names].to_numpy(float) - shift
-            here = ~np.isnan(values)
-            x, m = np.where(here, values, 0.0), here.astype(float)
-            totals += np.stack(
-                [m.T @ m, x.T @ x, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x)]
-            )
-        i, j = np.triu_indices(width, 1)
-        cells = {name: totals[k, i, j] for k, name in enumerate(_SUMS)}
-        yield pd.DataFrame({"i": i, "j": j, **cells})
-
-    schema = "i int, j int, " + ", ".join(f"{name} double" for name in _SUMS)
-    sums = (
-        df.select(*[F.col(c).cast("double") for c in names])
-        .mapInPandas(per_task, schema)
-        .groupBy("i", "j")
-        .agg(*[F.sum(name).alias(name) for name in _SUMS])
-    )
+    tiles = [range(i, min(i + _TILE, len(names))) for i in range(0, len(names), _TILE)]
+    parts = [
+        _tile_sums(df, names, shift, left, right)
+        for k, left in enumerate(tiles)
+        for right in tiles[k:]
+    ]
+    sums = reduce(DataFrame.unionByName, parts)
+    sums = sums.groupBy("i", "j").agg(*[F.sum(name).alias(name) for name in _SUMS])
     n, covariance = F.col("n"), F.col("xy") * F.col("n") - F.col("x") * F.col("y")
     spread_x = F.col("xx") * n - F.col("x") * F.col("x")
     spread_y = F.col("yy") * n - F.col("y") * F.col("y")
@@ -104,6 +92,36 @@ def pairwise_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 _SUMS = ("n", "xy", "x", "y", "xx", "yy")
+#: Columns of a tile: a task reads two tiles and holds six matrices of this width.
+_TILE = 512
+
+
+def _tile_sums(
+    df: DataFrame, names: Sequence[str], shift: np.ndarray, left: range, right: range
+) -> DataFrame:
+    """i, j and _SUMS of the pairs between two tiles of columns, a row per pair and task."""
+    used = sorted({*left, *right})
+    rows, columns = [used.index(i) for i in left], [used.index(j) for j in right]
+    centres = shift[used]
+    wanted = [(a, b) for a, i in enumerate(left) for b, j in enumerate(right) if i < j]
+
+    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = np.zeros((len(_SUMS), len(left), len(right)))
+        for batch in batches:
+            values = batch.to_numpy(float) - centres
+            here = ~np.isnan(values)
+            x, m = np.where(here, values, 0.0), here.astype(float)
+            xa, xb, ma, mb = x[:, rows], x[:, columns], m[:, rows], m[:, columns]
+            products_ = ((ma, mb), (xa, xb), (xa, mb), (ma, xb), (xa * xa, mb), (ma, xb * xb))
+            for k, (a, b) in enumerate(products_):
+                totals[k] += a.T @ b
+        if wanted:
+            a, b = np.array(wanted).T
+            cells = {name: totals[k, a, b] for k, name in enumerate(_SUMS)}
+            yield pd.DataFrame({"i": left.start + a, "j": right.start + b, **cells})
+
+    schema = "i int, j int, " + ", ".join(f"{name} double" for name in _SUMS)
+    return df.select(*[F.col(names[k]).cast("double") for k in used]).mapInPandas(per_task, schema)
 
 
 def correlated_columns(df: DataFrame, columns: Sequence[str], threshold: float) -> list[str]:

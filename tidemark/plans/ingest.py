@@ -73,21 +73,25 @@ def ingest_from_config(
     *,
     skip_macro: bool = False,
 ) -> DataFrame:
-    """The same from a configuration mapping with ticker, start, end, save and macro."""
+    """The same from a configuration mapping with ticker, start, end, save and macro.
+
+    A ticker of None means every series. ``macro`` has ``series``, ``fill_method`` and ``on``.
+    """
     for key in REQUIRED:
         if key not in config:
             raise ValueError(f"The data configuration needs '{key}'.")
     save = config.get("save") if isinstance(config.get("save"), Mapping) else {}
     wanted = config.get("macro") if isinstance(config.get("macro"), Mapping) else {}
-    series = None if skip_macro or macro is None else wanted.get("series")
+    ticker = config["ticker"]
     return fetch_market_data(
         bars,
-        ticker=str(config["ticker"]),
+        ticker=None if ticker is None else str(ticker),
         start=str(config["start"]),
         end=str(config["end"]),
         macro=macro,
-        macro_series=series or None,
+        macro_series=None if skip_macro else wanted.get("series") or None,
         macro_fill_method=wanted.get("fill_method", "ffill"),
+        macro_on=wanted.get("on", "timestamp"),
         save_path=save.get("path"),
         save_format=save.get("format", "parquet"),
     )
