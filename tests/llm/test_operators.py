@@ -219,11 +219,31 @@ def test_token_files(spark, docs, rows, empty, tmp_path):
     text = {i: t for i, t in rows}
     for r in found:
         assert np.frombuffer(r["ids"], "<u4").tolist() == encode(text[r["doc_id"]]) + [2]
+    whole = np.frombuffer(b"".join(bytes(r["ids"]) for r in found), "<u4")
+    for first, end in ((0, 5), (3, 3), (127, 129), (300, 20_000), (len(whole) - 2, len(whole) + 9), (0, len(whole))):
+        parts = token_files.read_ids(spark, out, first, end).orderBy("start").collect()
+        assert np.frombuffer(b"".join(bytes(p["ids"]) for p in parts), "<u4").tolist() == whole[first:end].tolist()
+        assert not parts or parts[0]["start"] == first
     out = str(tmp_path / "none")
     token_files.write_token_files(empty, out, tokenizer("word_bpe_49k.json"), "drop", 2)
     assert token_files.read_token_files(spark, out).count() == 0
 
 
+def test_ranges_of_packed_blocks():
+    """A part of a column by the index equals the part of the whole column; columns end where they say."""
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 127, 128, 129, 1000):
+        values = draw.integers(0, 50, n)
+        values[draw.random(n) < 0.05] = 2**40  # exceptions
+        data = b"xxxx" + token_files.pack(values) + token_files.pack(values[::-1])
+        whole, end = token_files.unpack(data, 4)
+        assert token_files._column_end(data, 4) == end
+        for _ in range(40):
+            a, b = sorted(draw.integers(0, n + 3, 2).tolist())
+            assert token_files.unpack_range(data, 4, a, b).tolist() == whole[a:b].tolist()
+            assert token_files.unpack_range(data, end, a, b).tolist() == whole[::-1][a:b].tolist()
+
+
 def test_packed_blocks():
     draw = np.random.default_rng(1)
     for values in (
@@ -439,6 +459,24 @@ def test_stretches_are_those_of_the_whole_block():
             assert ends == [x for low, high in parts for x in licenses._ends(template, block, low, high, most)]
 
 
+def test_license_anchors_follow_from_templates(spark):
+    """A template of the caller, a misspelt word that was an anchor, white space of other kinds."""
+    own = "You may use this work in any way you like, provided that this sentence stays in every copy."
+    bsd = next(t for n, t in licenses.TEMPLATES if n == "BSD")
+    cc0 = next(t for n, t in licenses.TEMPLATES if n == "CC0-1.0")
+    rows = [
+        (1, f"The cat sat. {own} The dog ran."), (2, bsd.replace("Redistribution", "Re-distribution")),
+        (3, cc0.replace(" ", "\u00a0").replace("public\u00a0domain", "public\u2003domain")),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.find_licenses(df, [*licenses.TEMPLATES, ("own", own)]).collect()
+    assert {(r["doc_id"], r["license"]) for r in found} == {(1, "own"), (2, "BSD"), (3, "CC0-1.0")}
+    for name, text in licenses.TEMPLATES:
+        words = licenses.plain_words(text)
+        held = {*words} & {*licenses.anchors_of(licenses.TEMPLATES)}
+        assert len(held) > int(licenses.DIFFERENCES * len(words)), name
+
+
 # Personal data
 
 

@@ -1,7 +1,8 @@
 """License texts in documents, by conditional compression.
 
-Words that license texts turn on (anchors) mark candidate blocks: the words around them, joined
-where they overlap. A block is compressed alone, and once with each template as a raw zstandard
+Anchors, words of the templates, mark candidate blocks: the words around them, joined where they
+overlap. A wording that is accepted lacks at most a tenth of a template's words, so of each template one
+different word more than that is an anchor, and no accepted wording can avoid all of them. A block is compressed alone, and once with each template as a raw zstandard
 dictionary; templates are ranked by how much smaller that makes it. The rank excludes none, as a
 short notice saves next to nothing of a long block. Every template is confirmed by
 wording: it is aligned with the best stretches of the block, word by word, and accepted if
@@ -20,7 +21,6 @@ crosses a cut is lost.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -69,7 +69,6 @@ TEMPLATES = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
 )
-ANCHORS = "licen[sc]e|permission is hereby|redistribut|sublicens|warrant|public domain|creative commons"
 AROUND, LONGEST_BLOCK = 16, 2000
 #: Share of a template's words that may differ.
 DIFFERENCES = 0.1
@@ -80,6 +79,28 @@ def plain_words(text: str) -> list[str]:
     return [w.lower().strip(".,;:!?()[]{}\"'*#") for w in text.split()]
 
 
+def anchors_of(templates: Sequence[tuple[str, str]], share: float = DIFFERENCES) -> list[str]:
+    """Words of which every accepted wording of every template holds one at least.
+
+    An edit takes one word away, so a template with ``most`` edits needs ``most + 1`` different
+    words. Words of many templates that are still short of them are preferred, and long words.
+    """
+    words = [[w for w in dict.fromkeys(plain_words(text)) if w] for _, text in templates]
+    need = [min(len(w), int(share * len(plain_words(t))) + 1) for w, (_, t) in zip(words, templates)]
+    chosen: list[str] = []
+    while any(need):
+        gain: dict[str, int] = {}
+        for own, short in zip(words, need):
+            left = [w for w in own if w not in chosen] if short else []
+            # Short words are common ones; they serve where a template has too few others.
+            for w in [w for w in left if len(w) > 5] or left:
+                gain[w] = gain.get(w, 0) + 1
+        best = max(gain, key=lambda w: (gain[w] + len(w) / 2, w))
+        chosen.append(best)
+        need = [n - (best in own) if n else 0 for own, n in zip(words, need)]
+    return chosen
+
+
 class Scanner:
     """Compressors and words of all templates."""
 
@@ -103,14 +124,11 @@ class Scanner:
             )
             for words in self.words
         ]
-        self.anchor = re.compile(ANCHORS)
+        self.anchors = {*anchors_of(templates)}
 
     def blocks(self, words: list[str]) -> Iterator[tuple[int, int]]:
         """First and end word of the stretches around anchors."""
-        text = " ".join(words)
-        starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
-        hits = [m.start() for m in self.anchor.finditer(text)]
-        at = np.unique(np.searchsorted(starts, hits, side="right") - 1) if hits else []
+        at = [i for i, w in enumerate(words) if w in self.anchors]
         spans: list[list[int]] = []
         reach = max(AROUND, self.longest)
         for i in at:
@@ -232,11 +250,13 @@ def find_licenses(
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """doc_id, license, first_word, end_word, reduction, differences, wording: a row per license."""
+    templates = tuple(templates)
+    # Without its word borders this finds more than the scanner does, and nothing less.
+    anchors = "|".join(f"\\Q{w}\\E" for w in anchors_of(templates))
     body = text_or_empty(text)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), body.alias("body")).filter(
-        F.lower("body").rlike(ANCHORS.replace(" ", "\\s+"))
+        F.lower("body").rlike(anchors)
     )
-    templates = tuple(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = worker_memory(("licenses", templates), lambda: Scanner(templates))

@@ -135,6 +135,51 @@ def unpack(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     return (rest + low[:, None]).reshape(-1)[:n], at
 
 
+def _column_end(data: bytes, at: int) -> int:
+    """Where the column that starts at ``at`` ends, from its header alone."""
+    _, blocks = struct.unpack_from("<II", data, at)
+    (packed,) = struct.unpack_from("<I", data, at + 8 + 4 * blocks)
+    odd = np.frombuffer(data, "<u1", blocks, at + 8 + 4 * (blocks + 1) + 9 * blocks)
+    return at + 8 + 4 * (blocks + 1) + 10 * blocks + packed + 9 * int(odd.sum())
+
+
+def unpack_range(data: bytes, at: int, first: int, end: int) -> np.ndarray:
+    """Values ``first`` to ``end`` of the column that starts at ``at``.
+
+    The index of block starts leads to the blocks that hold them; no other block is read.
+    """
+    n, blocks = struct.unpack_from("<II", data, at)
+    first, end = max(0, first), min(n, end)
+    if first >= end:
+        return np.zeros(0, np.int64)
+    low_block, high_block = first // BLOCK, -(-end // BLOCK)
+    many = high_block - low_block
+    at += 8
+    starts = np.frombuffer(data, "<u4", many + 1, at + 4 * low_block).astype(np.int64)
+    (packed,) = struct.unpack_from("<I", data, at + 4 * blocks)
+    at += 4 * (blocks + 1)
+    low = np.frombuffer(data, "<i8", many, at + 8 * low_block)
+    width = np.frombuffer(data, "<u1", many, at + 8 * blocks + low_block)
+    odd = np.frombuffer(data, "<u1", blocks, at + 9 * blocks)
+    at += 10 * blocks
+    rest = np.zeros((many, BLOCK), np.int64)
+    for w in np.unique(width).tolist():
+        if w:
+            same = np.flatnonzero(width == w)
+            size = BLOCK * w // 8
+            raw = np.stack([np.frombuffer(data, "<u1", size, at + int(starts[i])) for i in same])
+            rest[same] = _unpack_bits(raw, w)
+    # Exceptions lie one after the other, so those of earlier blocks are counted and passed over.
+    earlier, mine = int(odd[:low_block].sum()), odd[low_block:high_block]
+    total, own = int(odd.sum()), int(mine.sum())
+    place = np.frombuffer(data, "<u1", own, at + packed + earlier)
+    high = np.frombuffer(data, "<u8", own, at + packed + total + 8 * earlier)
+    block = np.repeat(np.arange(many), mine)
+    rest[block, place] |= high.astype(np.int64) << width[block].astype(np.int64)
+    values = (rest + low[:, None]).reshape(-1)
+    return values[first - low_block * BLOCK : end - low_block * BLOCK]
+
+
 def encode_segment(doc_ids: list[int | None], ids: list[bytes], kind: str = "<u4") -> bytes:
     """Ids of documents are stored as their difference to the smallest, in two halves."""
     nulls = np.array([d is None for d in doc_ids], np.int64)
@@ -249,6 +294,35 @@ def read_token_files(spark, path: str, with_ids: bool = True) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
+def read_ids(spark, path: str, first: int, end: int) -> DataFrame:
+    """start, ids: the ids at places ``first`` to ``end`` of the whole stream, in pieces.
+
+    Only segments that hold some of them are read, and of these only the blocks that do. Places
+    beyond the stream are left out.
+    """
+    files = spark.read.schema(FILE_SCHEMA).parquet(path)
+    shards = files.groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = shards.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    place = F.col("base") + F.col("start")
+    rows = files.join(F.broadcast(bases), "shard").select(place.alias("at"), "n_ids", "payload")
+    held = rows.filter((F.col("at") < end) & (F.col("at") + F.col("n_ids") > first)).select("at", "payload")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                column = len(MAGIC)
+                for _ in range(4):
+                    column = _column_end(payload, column)
+                from_ = max(0, first - at)
+                ids = unpack_range(payload, column, from_, end - at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at + from_]), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["start", "ids"]
+                )
+
+    return held.mapInArrow(run, "start long, ids binary")
+
+
 def token_file_folder(spark) -> str:
     """A new place in the shared folder."""
     import uuid
