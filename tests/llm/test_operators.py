@@ -362,7 +362,7 @@ def test_finer_signatures_over_many_pairs():
         a, b = near_dups.fine_bits([np.sort(base), np.sort(other)], near_dups.FINE)
         agree.append(int((np.unpackbits(a) == np.unpackbits(b)).sum()))
     assert abs(np.mean(agree) - 1792) < 8 and 10 < np.std(agree) < 21
-    assert min(agree) >= near_dups.ROUNDS[1]
+    assert min(agree) >= near_dups.fine_rounds(75)[1]
 
 
 # Top-k
