@@ -105,29 +105,33 @@ def _inside(batch: pa.RecordBatch, intervals: Sequence[_Interval]) -> Iterator[t
 
 
 def _histograms(df: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
-    """i, bucket, n, least, most: rows and the ends of the keys in each bucket of each interval."""
+    """i, bucket, n, least, most, mixed: rows of each bucket of each interval, and whether it holds
+    one key only: then no task saw another one, and ``least`` and ``most`` are that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((len(intervals), 1 << _BITS), np.int64)
-        least, most = np.full(n.shape, 2**64 - 1, np.uint64), np.zeros(n.shape, np.uint64)
+        # One key of each bucket, and whether there was another; no number has the key 0.
+        one, mixed = np.zeros(n.shape, np.uint64), np.zeros(n.shape, bool)
         for batch in batches:
             for i, keys in _inside(batch, intervals):
                 used, step = intervals[i].bits, min(_BITS, 64 - intervals[i].bits)
                 bucket = (keys >> np.uint64(64 - used - step)) & np.uint64((1 << step) - 1)
                 bucket = bucket.astype(np.int64)
                 n[i] += np.bincount(bucket, minlength=1 << _BITS)
-                np.minimum.at(least[i], bucket, keys)
-                np.maximum.at(most[i], bucket, keys)
+                new = one[i][bucket] == 0
+                one[i][bucket[new]] = keys[new]
+                mixed[i][bucket[one[i][bucket] != keys]] = True
         i, bucket = np.nonzero(n)
-        signed = lambda x: (x[i, bucket] ^ np.uint64(1 << 63)).view(np.int64)
+        signed = (one[i, bucket] ^ np.uint64(1 << 63)).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (i, bucket, n[i, bucket], signed(least), signed(most))],
-            ["i", "bucket", "n", "least", "most"],
+            [pa.array(c) for c in (i, bucket, n[i, bucket], signed, mixed[i, bucket])],
+            ["i", "bucket", "n", "one", "mixed"],
         )
 
-    parts = df.mapInArrow(run, "i long, bucket long, n long, least long, most long")
+    parts = df.mapInArrow(run, "i long, bucket long, n long, one long, mixed boolean")
     return parts.groupBy("i", "bucket").agg(
-        F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")
+        F.sum("n").alias("n"), F.min("one").alias("least"), F.max("one").alias("most"),
+        F.max("mixed").alias("mixed"),
     )
 
 
@@ -143,7 +147,7 @@ def _next(
     after: dict[_Interval, list[int]] = {}
     for row in held.collect():
         interval = intervals[row.i]
-        if row.least == row.most:
+        if row.least == row.most and not row.mixed:
             answers[interval.column, row.rank] = _value(row.least + 2**63)
             continue
         step = min(_BITS, 64 - interval.bits)

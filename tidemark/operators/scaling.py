@@ -30,6 +30,9 @@ def scaler_kind(name: str) -> str:
     return kind
 
 
+#: Bytes of a row group of a table that is read several times.
+_ROW_GROUP = 8 << 20
+
 Statistics = dict[str, tuple[float, float]]
 
 
@@ -76,8 +79,10 @@ def fit_columns(
     }
     if kind == "robust":
         means = {c: centre for c, (centre, _) in statistics.items()}
-        # Read once per pass, so what leads to the columns should not run again each time.
-        complete = freeze(df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns]))
+        # Read once per pass, so what leads to the columns should not run again each time; in small
+        # row groups, so that even a few files are read by all tasks.
+        complete = df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns])
+        complete = freeze(complete, row_group=_ROW_GROUP)
         quartiles = exact_quantiles(complete, columns, (0.25, 0.5, 0.75))
         for c, (low, mid, high) in quartiles.items():
             if mid is not None:

@@ -99,18 +99,26 @@ def scratch(spark: SparkSession):
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def write_shared(df: DataFrame) -> str:
-    """Writes ``df`` to a new table in the shared folder and returns its path."""
+def write_shared(df: DataFrame, row_group: int | None = None) -> str:
+    """Writes ``df`` to a new table in the shared folder and returns its path.
+
+    A large file is read by several tasks as far as it has several row groups; ``row_group`` is
+    their size in bytes.
+    """
     path = f"{shared_folder(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
     if _OPEN_SCRATCH:
         _OPEN_SCRATCH[-1].append(path)
-    df.write.parquet(path)
+    writer = df.write
+    if row_group is not None:
+        # Wide numbers hardly repeat; looking for it takes most of the time of writing them.
+        writer = writer.options(**{"parquet.block.size": row_group, "parquet.enable.dictionary": "false"})
+    writer.parquet(path)
     return path
 
 
-def freeze(df: DataFrame) -> DataFrame:
+def freeze(df: DataFrame, row_group: int | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends, columns still prune."""
-    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df))
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, row_group))
 
 
 def in_written_order(df: DataFrame) -> DataFrame:
