@@ -640,7 +640,7 @@ def test_shipped_competition_is_whole(spark, monkeypatch):
         return SimpleNamespace(leaderboard=spark.createDataFrame([("a", 1)], "candidate string, position int"))
 
     monkeypatch.setattr(models, "run_competition", record)
-    monkeypatch.setattr(models, "_splits", lambda *_: None)
+    monkeypatch.setattr(models, "_shipped_splits", lambda *_: None)
     models.competition_shipped(spark, "")
     boosting = next(c for c in seen if c.name == "gradient_boosting")
     assert boosting.params == {"n_estimators": 200, "learning_rate": 0.05, "max_depth": 6, "random_state": 42}

@@ -29,7 +29,7 @@ from tidemark.queries.features import (
     _over,
 )
 from tidemark.plans.ingest import fetch_market_data
-from tidemark.queries.fixtures import DAILY_SQL, MACRO_SQL, daily_bars, macro_long, table
+from tidemark.queries.fixtures import DAILY_SQL, MACRO_SQL, MACROS, daily_bars, macro_long, table
 from tidemark.queries.registry import num, nums, query, tidy, when
 from tidemark.queries.tables import small_blocks
 from tidemark.session import freeze, setting
@@ -64,6 +64,15 @@ def _train(spark, folder):
     return _splits(spark, folder).filter(F.col("split") == "train")
 
 
+def _shipped_splits(spark, folder):
+    """The splits of bars with filled macro columns; a macro that meets no bar is dropped."""
+    dataset = fetch_market_data(
+        daily_bars(spark, folder), ticker=None, start="1990-01-01", end="2010-01-01",
+        macro=macro_long(spark, folder), macro_series=list(MACROS.values()),
+    )
+    return temporal_split(dataset, T, gap=1, horizon=HORIZON)
+
+
 def _linear_fit(spark, folder, name, columns, label, params=None):
     """Intercept and coefficients of a linear model on raw columns of the daily bars."""
     bars = daily_bars(spark, folder)
@@ -376,9 +385,8 @@ SELECTION = SelectionConfig(
 @query("rfecv")
 def rfecv(spark, folder):
     """Rank and support of every feature, with the shipped settings."""
-    matrix, original = complete_rows(
-        _train(spark, folder), FeatureAssembler(target_column=T, **SHIPPED)
-    )
+    train = _shipped_splits(spark, folder).filter(F.col("split") == "train")
+    matrix, original = complete_rows(train, FeatureAssembler(target_column=T, **SHIPPED))
     result = choose_features(matrix, original, LABEL, SELECTION, "lasso")
     rows = list(zip(result.columns, result.ranking, result.support))
     return spark.createDataFrame(rows, "feature string, ranking long, support boolean")
@@ -539,7 +547,7 @@ SHIPPED_CANDIDATES = (
 def competition_shipped(spark, folder):
     """Correlation drop, elimination, and the shipped candidates with their parameters and grid."""
     outcome = run_competition(
-        _splits(spark, folder),
+        _shipped_splits(spark, folder),
         LABEL,
         FeatureAssembler(target_column=T, **SHIPPED),
         [Candidate.from_mapping(c) for c in SHIPPED_CANDIDATES],
