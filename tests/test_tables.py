@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import START, series, values
+from tidemark import session
 from tidemark.operators import align, clean, metrics, moments, profile, quantiles, scaling
 from tidemark.operators.split import add_label, expanding_folds, temporal_split
 from tidemark.plans.ingest import aligned_dataset, fetch_market_data, ingest_from_config
@@ -513,6 +514,77 @@ def test_quantiles_ignore_nan(spark):
     assert quantiles.exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]) == {"x": [1.0, 2.0, 3.0]}
 
 
+def _wide_with_gaps(spark, rows: int, width: int):
+    """Columns with a tenth of the values missing, made by one projection."""
+    value = "pmod(xxhash64(id, {i}), 1000003) / {i}.5D"
+    items = [f"if(pmod(xxhash64(id, -{i}), 10) = 0, null, {value.format(i=i)}) as x{i}" for i in range(1, width + 1)]
+    return spark.range(0, rows, 1, 4).selectExpr(*items)
+
+
+def _filled_statistics(df) -> dict[str, tuple[float, float]]:
+    frame = df.toPandas()
+    low, mid, high = np.quantile(frame.fillna(frame.mean()), (0.25, 0.5, 0.75), axis=0)
+    return {c: (m, h - q) for c, q, m, h in zip(frame.columns, low, mid, high)}
+
+
+def test_robust_scaling_keeps_few_of_the_values(spark, monkeypatch):
+    df = _wide_with_gaps(spark, 40_000, 8)
+    kept, write = [], session.write_shared
+
+    def written(df, *args):
+        path = write(df, *args)
+        kept.append(spark.read.parquet(path).count() * len(df.columns))
+        return path
+
+    monkeypatch.setattr(session, "write_shared", written)
+    got, expected = scaling.fit_scaler(df, df.columns, "robust"), _filled_statistics(df)
+    for c in df.columns:
+        assert got[c] == pytest.approx(expected[c], rel=1e-9)
+    assert sum(kept) < 0.15 * 40_000 * 8
+
+
+@pytest.mark.parametrize("slack", [-0.02, 0.0, 0.6])
+def test_quantiles_do_not_rest_on_the_sketch(spark, monkeypatch, slack):
+    """Brackets that miss the ranks cost another pass, wide ones more rows."""
+    monkeypatch.setattr(quantiles, "_SLACK", slack)
+    df = _wide_with_gaps(spark, 20_000, 3)
+    wanted, frame = [0.0, 0.001, 0.3, 0.301, 0.5, 0.999, 1.0], df.toPandas()
+    got = quantiles.exact_quantiles(df, df.columns, wanted, 50)
+    fitted, expected = scaling.fit_scaler(df, df.columns, "robust"), _filled_statistics(df)
+    for c in df.columns:
+        assert got[c] == pytest.approx(list(np.quantile(frame[c].dropna(), wanted)), rel=1e-12)
+        assert fitted[c] == pytest.approx(expected[c], rel=1e-9)
+
+
+def test_robust_scaling_of_odd_columns(spark):
+    """Mostly missing, no value, NaN, one value, negative and both zeros, infinities, whole numbers."""
+    inf, nan = math.inf, math.nan
+    rows = [
+        (float(i) if i < 3 else None, None, nan if i == 5 else float(i), 0.1, -0.0 if i % 2 else 0.0,
+         -inf if i < 4 else inf if i > 15 else float(i), i if i % 3 else None)
+        for i in range(20)
+    ]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double, g long")
+    got, empty = scaling.fit_columns(df, list("abcdefg"), "robust")
+    assert empty == ["b"]
+    assert got["a"] == (1.0, 1.0) and got["b"] == (0.0, 1.0) and got["d"] == (0.1, 1.0) and got["e"] == (0.0, 1.0)
+    low, mid, high = np.quantile([i for i in range(20) if i != 5], (0.25, 0.5, 0.75))
+    assert got["c"] == pytest.approx((mid, high - low))
+    assert got["f"] == pytest.approx((9.5, 9.5))
+    g = np.array([r[6] if r[6] is not None else nan for r in rows])
+    low, mid, high = np.quantile(np.where(np.isnan(g), np.nanmean(g), g), (0.25, 0.5, 0.75))
+    assert got["g"] == pytest.approx((mid, high - low))
+
+
+def test_long_code_is_compiled_while_statistics_are_taken(spark):
+    """The setting holds for the pass only."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    with session.compiled(spark):
+        assert spark.conf.get(name) == "8000"
+    assert spark.conf.get(name, None) == before
+
+
 @pytest.mark.parametrize("interval", ["1d", "36h", "1wk", "1mo"])
 def test_bounds_reach_the_ticks(spark, tmp_path, interval):
     """Bounded bars are the bounded part of all bars, and both bounds are pushed to the scan."""

@@ -10,8 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.quantiles import exact_quantiles
-from tidemark.session import freeze
+from tidemark.operators import quantiles
+from tidemark.session import compiled
 
 SCALERS = {
     "standard": "standard",
@@ -30,15 +30,13 @@ def scaler_kind(name: str) -> str:
     return kind
 
 
-#: Bytes of a row group of a table that is read several times.
-_ROW_GROUP = 8 << 20
-
 Statistics = dict[str, tuple[float, float]]
 
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Mean per column, 0.0 for a column without values."""
-    row = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
+    with compiled(df.sparkSession):
+        row = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
     return {c: float(row[c]) for c in columns}
 
 
@@ -53,11 +51,13 @@ def fit_columns(
 ) -> tuple[Statistics, list[str]]:
     """The scaler's statistics and the columns without any value, from one aggregate.
 
-    Robust scaling needs the quartiles as well, which take further passes.
+    Robust scaling needs the quartiles as well, which take another pass.
     """
     kind = scaler_kind(kind) if kind is not None else None
     if not columns:
         return {}, []
+    if kind == "robust":
+        return _fit_robust(df, columns)
     pieces = []
     for i, c in enumerate(columns):
         mean, least, most = f"coalesce(avg(`{c}`), 0D)", f"min(`{c}`)", f"max(`{c}`)"
@@ -69,7 +69,8 @@ def fit_columns(
         else:
             centre, scale = mean, "1D"
         pieces += [f"count(`{c}`) as n{i}", f"{centre} as c{i}", f"{scale} as s{i}"]
-    row = df.selectExpr(*pieces).first()
+    with compiled(df.sparkSession):
+        row = df.selectExpr(*pieces).first()
     empty = [c for i, c in enumerate(columns) if row[f"n{i}"] == 0]
     if kind is None:
         return {}, empty
@@ -77,16 +78,28 @@ def fit_columns(
         c: (float(row[f"c{i}"] or 0.0), float(row[f"s{i}"] or 0.0) or 1.0)
         for i, c in enumerate(columns)
     }
-    if kind == "robust":
-        means = {c: centre for c, (centre, _) in statistics.items()}
-        # Read once per pass, so what leads to the columns should not run again each time; in small
-        # row groups, so that even a few files are read by all tasks.
-        complete = df.select(*[F.coalesce(c, F.lit(means[c])).alias(c) for c in columns])
-        complete = freeze(complete, row_group=_ROW_GROUP)
-        quartiles = exact_quantiles(complete, columns, (0.25, 0.5, 0.75))
-        for c, (low, mid, high) in quartiles.items():
-            if mid is not None:
-                statistics[c] = (mid, (high - low) or 1.0)
+    return statistics, empty
+
+
+def _fit_robust(df: DataFrame, columns: Sequence[str]) -> tuple[Statistics, list[str]]:
+    """Median and distance of the quartiles; the pass for the means sums up the values as well."""
+    statistics: Statistics = {}
+    empty: list[str] = []
+    for a in range(0, len(columns), quantiles.COLUMNS):
+        some = columns[a : a + quantiles.COLUMNS]
+        pieces, read = ["count(1) as rows"], ["rows", *quantiles.sketch_values(len(some))]
+        for i, c in enumerate(some):
+            pieces += [f"count(`{c}`) as n{i}", f"coalesce(avg(`{c}`), 0D) as c{i}", quantiles.sketch(i, c)]
+            read += [f"n{i}", f"c{i}"]
+        with compiled(df.sparkSession):
+            row = df.selectExpr(*pieces).select(*read).first()
+        means = [float(row[f"c{i}"]) for i in range(len(some))]
+        empty += [c for i, c in enumerate(some) if row[f"n{i}"] == 0]
+        known = [quantiles.sketched(row, i, row.rows - row[f"n{i}"], mean) for i, mean in enumerate(means)]
+        quartiles = quantiles.quantiles_of(df, some, known, (0.25, 0.5, 0.75))
+        for c, mean in zip(some, means):
+            low, mid, high = quartiles[c]
+            statistics[c] = (mean, 1.0) if mid is None else (mid, (high - low) or 1.0)
     return statistics, empty
 
 

@@ -49,6 +49,15 @@ def setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+def compiled(spark: SparkSession):
+    """For jobs over many computed columns.
+
+    Spark makes one method of a whole stage; Java compiles none of more than 8,000 bytes and
+    interprets it, ten times as slow. Beyond that size every operator is to have methods of its own.
+    """
+    return setting(spark, "spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def block_rows(spark: SparkSession) -> int:
     """Rows one task may hold of one series before the series is cut into blocks."""
     return int(spark.conf.get(BLOCK_ROWS, "1000000"))
@@ -99,26 +108,18 @@ def scratch(spark: SparkSession):
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def write_shared(df: DataFrame, row_group: int | None = None) -> str:
-    """Writes ``df`` to a new table in the shared folder and returns its path.
-
-    A large file is read by several tasks as far as it has several row groups; ``row_group`` is
-    their size in bytes.
-    """
+def write_shared(df: DataFrame) -> str:
+    """Writes ``df`` to a new table in the shared folder and returns its path."""
     path = f"{shared_folder(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
     if _OPEN_SCRATCH:
         _OPEN_SCRATCH[-1].append(path)
-    writer = df.write
-    if row_group is not None:
-        # Wide numbers hardly repeat; looking for it takes most of the time of writing them.
-        writer = writer.options(**{"parquet.block.size": row_group, "parquet.enable.dictionary": "false"})
-    writer.parquet(path)
+    df.write.parquet(path)
     return path
 
 
-def freeze(df: DataFrame, row_group: int | None = None) -> DataFrame:
+def freeze(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends, columns still prune."""
-    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df, row_group))
+    return df.sparkSession.read.schema(df.schema).parquet(write_shared(df))
 
 
 def in_written_order(df: DataFrame) -> DataFrame:
